@@ -14,6 +14,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from corpusloom.llm.tokens import current_plan
 from corpusloom.storage import materialize
@@ -43,7 +44,7 @@ def truncated_cdf(rate: float, cap: int) -> list[float]:
     return below((low + high) / 2)
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(ArrayType(DoubleType()))
 def _cdf(rate: pd.Series, cap: pd.Series) -> pd.Series:
     return pd.Series([truncated_cdf(r, int(c)) for r, c in zip(rate, cap)])
 
