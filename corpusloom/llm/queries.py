@@ -18,7 +18,7 @@ from corpusloom.session import spread, table
 
 #: The share of all pairs that one corpus may have, in percent, and the model whose score decides what is kept.
 CAP_PERCENT, CAP_MODEL = 4, "cometkiwi-da-xl"
-LEAK_WINDOW, LEAK_ERRORS = 60, 1
+LEAK_WINDOW, LEAK_ERRORS = 60, 2
 PIECE_TOKENS, PIECE_OVERLAP = 2048, 128
 
 
