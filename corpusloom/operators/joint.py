@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.text import letter_count, script_share
 from corpusloom.functions.values import clip, finite, score_bin
+from corpusloom.operators.keys import join_groups
 from corpusloom.operators.prefix import running_sum
 
 #: Reasons for which a row is rejected outright, as bits.
@@ -96,9 +97,9 @@ def mid_ranks(rows: DataFrame, group: list[str], value: str, name: str) -> DataF
     for null values. Computed from counts of distinct values, so a group of any size is spread over the cluster."""
     counted = rows.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_n"))
     sizes = counted.groupBy(*group).agg(F.sum("_n").alias("_all"))
-    ranks = running_sum(counted, group, [F.col(value)], F.col("_n"), "_to").join(sizes, group)
+    ranks = join_groups(running_sum(counted, group, [F.col(value)], F.col("_n"), "_to"), sizes, group)
     ranks = ranks.select(*group, value, ((2 * F.col("_to") - F.col("_n")) / (2 * F.col("_all"))).alias(name))
-    return rows.join(ranks, [*group, value], "left")
+    return join_groups(rows, ranks, [*group, value], "left")
 
 
 def cdf_knots(values: np.ndarray, knots: int = 257) -> tuple[list[float], list[float]]:

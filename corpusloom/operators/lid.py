@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.operators.keys import join_groups
 from corpusloom.operators.prefix import exact_quantiles
 
 
 def confidence_thresholds(predictions: DataFrame, keys: list[str], confidence: str) -> DataFrame:
     """Per model and language: median less sample deviation of the confidences, kept between 0.3 and 0.9."""
     moments = predictions.filter(F.col(confidence).isNotNull()).groupBy(*keys).agg(F.count("*").alias("n"), F.coalesce(F.stddev_samp(confidence), F.lit(0.0)).alias("std"))
-    both = moments.join(exact_quantiles(predictions, keys, confidence, {"median": 0.5}), keys)
+    both = join_groups(moments, exact_quantiles(predictions, keys, confidence, {"median": 0.5}), keys)
     return both.withColumn("threshold", F.greatest(F.lit(0.3), F.least(F.lit(0.9), F.col("median") - F.col("std"))))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.operators.keys import join_groups
 from corpusloom.storage import materialize
 
 
@@ -49,10 +50,7 @@ def exact_quantiles(rows: DataFrame, keys: list[str], value: str, probabilities:
     )
     summed = running_sum(counted, keys, [F.col("_v")], F.col("_n"), "_to")
     sizes = counted.groupBy(*keys).agg(F.sum("_n").alias("_all"))
-    join = F.lit(True)
-    for k in keys:
-        join = join & F.col(f"s.{k}").eqNullSafe(F.col(f"z.{k}"))
-    ranked = summed.alias("s").join(sizes.alias("z"), join).select(*[F.col(f"s.{k}") for k in keys], "_v", "_n", "_to", "_all")
+    ranked = join_groups(summed, sizes, keys)
     picks = []
     for name, p in probabilities.items():
         at = (F.col("_all") - 1) * F.lit(float(p))
@@ -70,11 +68,6 @@ def percent_ranks(rows: DataFrame, group: list[str], value: str, name: str = "pe
     counted = rows.groupBy(*group, value).agg(F.count("*").alias("_n"))
     summed = running_sum(counted, group, [F.col(value).asc_nulls_first()], F.col("_n"), "_to")
     sizes = counted.groupBy(*group).agg(F.sum("_n").alias("_all"))
-    ranks = summed.join(sizes, group).select(
-        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col(value).alias("_v"),
-        F.when(F.col("_all") > 1, (F.col("_to") - F.col("_n")) / (F.col("_all") - 1)).otherwise(0.0).alias(name),
-    )
-    same = F.col(value).eqNullSafe(F.col("_v"))
-    for i, g in enumerate(group):
-        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
-    return rows.join(ranks, same).drop("_v", *[f"_g{i}" for i in range(len(group))])
+    place = F.when(F.col("_all") > 1, (F.col("_to") - F.col("_n")) / (F.col("_all") - 1)).otherwise(0.0)
+    ranks = join_groups(summed, sizes, group).select(*group, value, place.alias(name))
+    return join_groups(rows, ranks, [*group, value])

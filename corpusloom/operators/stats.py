@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.values import finite
+from corpusloom.operators.keys import join_groups
 from corpusloom.operators.prefix import exact_quantiles, running_sum
 
 #: The quantiles of feature summaries and of score summaries.
@@ -28,7 +29,7 @@ def describe(rows: DataFrame, keys: list[str], features: list[str]) -> DataFrame
         F.count("value").alias("count"), F.count_if(F.col("value").isNull()).alias("missing"), F.min("value").alias("min"), F.max("value").alias("max"),
         F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
     )
-    return moments.join(exact_quantiles(long, by, "value", TAILS), by, "left")
+    return join_groups(moments, exact_quantiles(long, by, "value", TAILS), by, "left")
 
 
 def pooled(summary: DataFrame) -> DataFrame:
@@ -53,7 +54,7 @@ def score_summary(rows: DataFrame, keys: list[str], score: str) -> DataFrame:
     moments = rows.groupBy(*keys).agg(
         F.count("*").alias("n_rows"), F.count("v").alias("n_scored"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max")
     )
-    return moments.join(exact_quantiles(rows, keys, "v", SCORE_QUANTILES), keys, "left")
+    return join_groups(moments, exact_quantiles(rows, keys, "v", SCORE_QUANTILES), keys, "left")
 
 
 def confidence_moments(rows: DataFrame, lang: str, confidence: str) -> DataFrame:
@@ -82,7 +83,7 @@ def spearman(rows: DataFrame, keys: list[str], features: list[str]) -> DataFrame
         counted = clean.groupBy(*keys, f).agg(F.count("*").alias("_n"))
         places = running_sum(counted, keys, [F.col(f)], F.col("_n"), "_to")
         ranks = places.select(*keys, f, (F.col("_to") - (F.col("_n") - 1) / 2.0).alias(f"_{f}"))
-        ranked = ranked.join(ranks, [*keys, f])
+        ranked = join_groups(ranked, ranks, [*keys, f])
     pairs = list(combinations_with_replacement(features, 2))
     wide = ranked.groupBy(*keys).agg(*[F.corr(f"_{a}", f"_{b}").alias(f"{a}|{b}") for a, b in pairs])
     long = wide.unpivot(keys, [f"{a}|{b}" for a, b in pairs], "pair", "correlation")
@@ -97,7 +98,7 @@ def agreement(rows: DataFrame, keys: list[str], a: str, b: str, within: float =
         F.count("*").alias("n"), F.corr("a", "b").alias("pearson"), F.avg("d").alias("mean_diff"), F.stddev_pop("d").alias("std_diff"),
         F.avg((F.abs("d") <= within).cast("int")).alias("share_close"),
     )
-    return moments.join(exact_quantiles(both, keys, "d", {"median_diff": 0.5}), keys, "left")
+    return join_groups(moments, exact_quantiles(both, keys, "d", {"median_diff": 0.5}), keys, "left")
 
 
 def share(part: Column, whole: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.operators.keys import join_groups
 from corpusloom.operators.stats import SCORE_QUANTILES
 
 #: The widest bounds that statistics may not narrow, and on which side a feature is bounded.
@@ -135,5 +136,5 @@ def retention(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame
     """Rows of each group before and after a filter, and the share kept."""
     a = before.groupBy(*keys).agg(F.count("*").alias("rows_before"))
     b = after.groupBy(*keys).agg(F.count("*").alias("rows_after"))
-    joined = a.join(b, keys, "left").fillna(0, ["rows_after"])
+    joined = join_groups(a, b, keys, "left").fillna(0, ["rows_after"])
     return joined.withColumn("kept_fraction", F.col("rows_after") / F.col("rows_before"))

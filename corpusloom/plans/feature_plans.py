@@ -76,6 +76,12 @@ def lcs_ratios(spark: SparkSession, d: str) -> DataFrame:
     return spread(table(spark, d, "bitext")).select("pair_id", T.lcs_ratio("source_text", "target_text").alias("score_lcs_ratio"))
 
 
+@query()
+def levenshtein_similarities(spark: SparkSession, d: str) -> DataFrame:
+    """By characters; DuckDB's distance counts bytes, so this is tested against brute force."""
+    return spread(table(spark, d, "bitext")).select("pair_id", T.levenshtein_similarity(F.col("source_text"), F.col("target_text")).alias("score_levenshtein"))
+
+
 @query()
 def repetition_scores(spark: SparkSession, d: str) -> DataFrame:
     return spread(table(spark, d, "bitext")).select("pair_id", T.repetition_score("source_text").alias("score_repeat_src"), T.repetition_score("target_text").alias("score_repeat_trg"))
@@ -117,7 +123,7 @@ def space_token_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""SELECT pair_id, qe_model, scored_at, CASE WHEN isnan(qe_score) OR isinf(qe_score) THEN NULL ELSE qe_score END AS finite_score,
-least(floor(least(greatest(CASE WHEN isnan(qe_score) OR isinf(qe_score) THEN NULL ELSE qe_score END, 0), 1) * 20), 19)::INTEGER AS bin,
+CASE WHEN NOT isnan(qe_score) AND NOT isinf(qe_score) THEN least(floor(least(greatest(qe_score, 0), 1) * 20), 19)::INTEGER END AS bin,
 1 - CASE WHEN isnan(qe_score) OR isinf(qe_score) THEN NULL ELSE qe_score END / 25 AS metricx_unit, CASE WHEN isnan(qe_score) OR isinf(qe_score) THEN NULL ELSE qe_score END / 100 AS llm_unit,
 CASE WHEN lower(trim(qe_src_seen)) IN ('true', 't', '1', 'yes', 'y', 'supported', 'covered') THEN true WHEN lower(trim(qe_src_seen)) IN ('false', 'f', '0', 'no', 'n', 'unsupported', 'uncovered') THEN false END AS src_seen,
 try_cast(qe_src_seen AS INTEGER) AS seen_int FROM (SELECT DISTINCT * FROM opus_scored)""")
@@ -198,7 +204,7 @@ def safe_names(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("source", "domain", V.safe_name(path).alias("safe")).distinct()
 
 
-@query("SELECT event_id, (epoch(ts)::BIGINT % 86400) AS seconds FROM events")
+@query("SELECT event_id, (floor(epoch(ts))::BIGINT % 86400) AS seconds FROM events")
 def clock_seconds(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", V.seconds_of(F.date_format("ts", "HH:mm:ss")).cast("bigint").alias("seconds"))
 

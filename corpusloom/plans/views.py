@@ -19,7 +19,7 @@ def pairs(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "bitext").withColumn("lang_pair", F.concat("src_lang", F.lit("-"), "tgt_lang"))
 
 
-FEATURES = ["src_char_len", "trg_char_len", "char_len_ratio", "src_word_len", "trg_word_len", "word_len_ratio", "score_levenshtein", "score_term_punct"]
+FEATURES = ["src_char_len", "trg_char_len", "char_len_ratio", "src_word_len", "trg_word_len", "word_len_ratio", "score_term_punct"]
 
 
 def features(spark: SparkSession, d: str) -> DataFrame:
@@ -30,7 +30,7 @@ def features(spark: SparkSession, d: str) -> DataFrame:
                        F.size(T.words(s)).alias("src_word_len"), F.size(T.words(t)).alias("trg_word_len"))
     return rows.select(
         "*", T.length_ratio(F.col("src_char_len"), F.col("trg_char_len"), "fixed").alias("char_len_ratio"), T.length_ratio(F.col("src_word_len"), F.col("trg_word_len"), "fixed").alias("word_len_ratio"),
-        T.levenshtein_similarity(s, t).alias("score_levenshtein"), T.terminal_punctuation_score(s, t).alias("score_term_punct"),
+        T.terminal_punctuation_score(s, t).alias("score_term_punct"),
         T.html_flag(s).alias("filter_html_src"), T.html_flag(t).alias("filter_html_trg"),
     )
 
@@ -45,7 +45,6 @@ lengths AS (SELECT pair_id, ingested_at, lang_pair, source_text, target_text, le
 feats AS (SELECT *,
   greatest(src_char_len, trg_char_len)::DOUBLE / greatest(least(src_char_len, trg_char_len), 1) AS char_len_ratio,
   greatest(src_word_len, trg_word_len)::DOUBLE / greatest(least(src_word_len, trg_word_len), 1) AS word_len_ratio,
-  CASE WHEN source_text = '' AND target_text = '' THEN 1.0::DOUBLE ELSE 1.0::DOUBLE - levenshtein(source_text, target_text)::DOUBLE / greatest(src_char_len, trg_char_len) END AS score_levenshtein,
   CASE WHEN source_text = '' OR target_text = '' THEN -20.0::DOUBLE ELSE -ln((abs({s} - {t}) + greatest({s} - 1, 0) + greatest({t} - 1, 0) + 1)::DOUBLE) END AS score_term_punct,
   regexp_matches(source_text, '<[a-zA-Z][^>]*>') AS filter_html_src, regexp_matches(target_text, '<[a-zA-Z][^>]*>') AS filter_html_trg
   FROM lengths)"""
