@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.values import truth
+from corpusloom.operators.keys import join_groups
 from corpusloom.operators.prefix import percent_ranks
 
 VARIANTS = ("both_seen", "src_seen", "tgt_seen", "both_unseen")
@@ -69,7 +70,7 @@ def weighted(scores: DataFrame, summary: DataFrame, weights: DataFrame, keys: li
     """
     flags = summary.select(model, direction, F.coalesce(F.col("src_seen"), F.lit(False)).alias("_s"), F.coalesce(F.col("tgt_seen"), F.lit(False)).alias("_t"))
     both = F.coalesce(truth(F.col("qe_src_seen")) & truth(F.col("qe_tgt_seen")), F.lit(False))
-    joined = scores.join(weights.select(model, "weight"), model).join(flags, [model, direction], "left")
+    joined = join_groups(scores.join(weights.select(model, "weight"), model), flags, [model, direction], "left")
     eligible = {"both_seen": both, "src_seen": F.col("_s"), "tgt_seen": F.col("_t"), "both_unseen": ~F.col("_s") & ~F.col("_t")}
     product = F.col("weight") * F.col(score)
     out = [F.when(F.count(score) == n_models, F.sum(product)).alias("ens_wavg_all")]
@@ -96,7 +97,7 @@ def retained_at(score: Column, taus: list[float], rows: Column) -> list[Column]:
 def scale_counts(rows: Column) -> list[Column]:
     return [
         F.count_distinct("qe_model").alias("models_scored"), F.count_distinct("direction_key").alias("directions_scored"),
-        F.count_distinct(F.struct("qe_model", "direction_key")).alias("model_direction_pairs_scored"), rows.alias("sentence_pairs_scored"),
+        F.count_distinct("qe_model", "direction_key").alias("model_direction_pairs_scored"), rows.alias("sentence_pairs_scored"),
         F.count_distinct("src_lang").alias("source_langs"), F.count_distinct("tgt_lang").alias("target_langs"),
         F.count("qe_score").alias("non_null_scores"), (rows - F.count("qe_score")).alias("null_scores"),
     ]
