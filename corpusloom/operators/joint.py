@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import letter_count, script_share
-from corpusloom.functions.values import clip, finite, score_bin
+from corpusloom.functions.values import clip, finite, score_bin, stable_uniform
 from corpusloom.operators.keys import join_groups
 from corpusloom.operators.prefix import running_sum
 
@@ -102,6 +102,15 @@ def mid_ranks(rows: DataFrame, group: list[str], value: str, name: str) -> DataF
     return join_groups(rows, ranks, [*group, value], "left")
 
 
+def mid_ranks_of(rows: DataFrame, row_id: str, group: list[str], values: dict[str, str]) -> DataFrame:
+    """``rows`` with the mid-rank distribution function of several columns (``values``: column to new column) at once:
+    all go through one sort in long form. ``row_id`` must be unique and not null."""
+    long = rows.select(row_id, *group, *[F.col(v).cast("double").alias(v) for v in values]).unpivot([row_id, *group], list(values), "_f", "_v")
+    ranked = mid_ranks(long.filter("_v is not null"), [*group, "_f"], "_v", "_r")
+    wide = ranked.groupBy(row_id).agg(*[F.max(F.when(F.col("_f") == v, F.col("_r"))).alias(name) for v, name in values.items()])
+    return rows.join(wide, row_id, "left")
+
+
 def cdf_knots(values: np.ndarray, knots: int = 257) -> tuple[list[float], list[float]]:
     """Distinct quantiles of the finite values and the mid-rank distribution function there."""
     v = np.sort(values[np.isfinite(values)])
@@ -111,11 +120,12 @@ def cdf_knots(values: np.ndarray, knots: int = 257) -> tuple[list[float], list[f
     return x.tolist(), ((np.searchsorted(v, x, "left") + np.searchsorted(v, x, "right")) / (2 * len(v))).tolist()
 
 
-def fit_cdfs(rows: DataFrame, group: list[str], value: str, per_group: int = 50_000) -> DataFrame:
-    """``group, x, p, n``: knots of each group's distribution function from at most ``per_group`` rows drawn by hash."""
-    place = F.row_number().over(Window.partitionBy(*group).orderBy("_h"))
-    sample = rows.select(*group, F.col(value).cast("double").alias("v")).withColumn("_h", F.xxhash64(*group, "v", F.monotonically_increasing_id()))
-    sample = sample.withColumn("_place", place).filter(F.col("_place") <= per_group).select(*group, "v")
+def fit_cdfs(rows: DataFrame, group: list[str], value: str, ids: list[str], per_group: int = 50_000) -> DataFrame:
+    """``group, x, p, n``: knots of each group's distribution function, from about ``per_group`` of its rows drawn by
+    hash of ``ids``, so that no task holds a whole group."""
+    sizes = rows.groupBy(*group).agg((per_group / F.count("*")).alias("_rate"))
+    sample = join_groups(rows, sizes, group).filter(stable_uniform(1, *[F.col(i) for i in ids]) < F.col("_rate"))
+    sample = sample.select(*group, F.col(value).cast("double").alias("v"))
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
         x, p = cdf_knots(frame["v"].to_numpy(float))
@@ -198,8 +208,8 @@ def allocate_budget(pairs: DataFrame, key: str, original: str, eligible: str, ta
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     onward = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     steps = rows.withColumn("filled", F.coalesce(F.sum("e").over(before), F.lit(0.0))).withColumn("open_base", F.sum("b").over(onward))
-    # c lies below the first full_at at which the sum reaches the target.
-    c = F.min(F.when((F.col("open_base") > 0) & (F.col("filled") + F.col("full_at") * F.col("open_base") >= target), (target - F.col("filled")) / F.col("open_base")))
+    # Of the places at which it does, the first gives the largest c.
+    c = F.max(F.when((F.col("open_base") > 0) & (F.col("filled") + F.col("full_at") * F.col("open_base") >= target), (target - F.col("filled")) / F.col("open_base")))
     level = steps.agg(c.alias("c"))
     joined = rows.crossJoin(F.broadcast(level))  # one row
     return joined.select(key, F.when(F.lit(target) <= 0, 0.0).when(F.col("c").isNull(), F.col("e")).otherwise(F.least(F.col("e"), F.greatest(F.col("c"), F.lit(0.0)) * F.col("b"))).alias("budget"))

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.operators.sampling import sample_k
+from corpusloom.operators.sampling import fraction_sample
 
 #: Rows the forest is fitted on, and rows of each tree.
 SAMPLE_ROWS, TREE_ROWS = 100_000, 256
@@ -75,9 +75,11 @@ class IsolationForest:
 
 
 def fit(rows: DataFrame, features: list[str], ids: list[str], sample: int = SAMPLE_ROWS, **options) -> IsolationForest:
-    """Fit on at most ``sample`` rows drawn by hash of ``ids``; features may be null."""
-    drawn = sample_k(rows.select(*ids, *[F.col(f).cast("double").alias(f"f{i}") for i, f in enumerate(features)]).withColumn("_all", F.lit(1)), ["_all"], sample, 0, *ids)
-    x = np.array([[np.nan if v is None else v for v in r] for r in drawn.orderBy(*ids).select(*[f"f{i}" for i in range(len(features))]).collect()], float)
+    """Fit on about ``sample`` rows drawn by hash of ``ids``; features may be null."""
+    n = rows.count()
+    columns = [F.col(f).cast("double").alias(f"f{i}") for i, f in enumerate(features)]
+    drawn = fraction_sample(rows, min(1.0, sample / max(n, 1)), 0, *ids).orderBy(*ids).select(*columns)
+    x = np.array([[np.nan if v is None else v for v in r] for r in drawn.collect()], float)
     if not len(x):
         raise ValueError("no row to fit on")
     return IsolationForest(x, **options)

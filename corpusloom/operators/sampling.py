@@ -19,7 +19,7 @@ def fraction_sample(rows: DataFrame, fraction: float, seed: int, *ids: str) -> D
 
 def sample_k(rows: DataFrame, keys: list[str], k: int, seed: int, *ids: str) -> DataFrame:
     """Exactly min(k, n) rows of each group, uniform without replacement. Spark keeps k rows a group and task before
-    the shuffle, so a large group doesn't reach one task."""
+    the shuffle, so a large group doesn't reach one task; for samples of millions use ``fraction_sample``."""
     order = [stable_uniform(seed, *[F.col(i) for i in ids]), *[F.col(i) for i in ids]]
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return rows.withColumn("_place", place).filter(F.col("_place") <= k).drop("_place")

@@ -58,7 +58,7 @@ def stale(jobs: DataFrame, started: str, expected_seconds: str, now: Column, mul
     """Running jobs that have taken more than a multiple of their expected time, set back to pending."""
     age = F.unix_timestamp(now) - F.unix_timestamp(started)
     over = (F.col("status") == "running") & (age > multiplier * F.col(expected_seconds))
-    return jobs.withColumn("status", F.when(over, "pending").otherwise(F.col("status"))).withColumn("reset", F.coalesce(over, F.lit(False)))
+    return jobs.withColumn("reset", F.coalesce(over, F.lit(False))).withColumn("status", F.when(F.col("reset"), "pending").otherwise(F.col("status")))
 
 
 def gpu_seconds(events: DataFrame, by: list[str]) -> DataFrame:
