@@ -33,6 +33,11 @@ def terminal_class() -> str:
     return "[" + "".join(rf"\x{{{p:x}}}" for p in points) + "]"
 
 
+def strip(text: Column) -> Column:
+    """The text without Unicode white space at its ends."""
+    return F.regexp_replace(text, f"^[{SPACE}]+|[{SPACE}]+$", "")
+
+
 def is_no_space(lang: Column) -> Column:
     """Whether a language code's script has no spaces between words; false without a code."""
     return F.coalesce(F.substring_index(lang, "_", -1).isin(*NO_SPACE_SCRIPTS) & lang.contains("_"), F.lit(False))

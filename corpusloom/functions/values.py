@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType
 
+from corpusloom.functions.text import SPACE, strip
+
 #: Spellings of a true flag and of a false one.
 TRUTHY = ("true", "t", "1", "yes", "y", "supported", "covered")
 FALSY = ("false", "f", "0", "no", "n", "unsupported", "uncovered")
@@ -25,7 +27,7 @@ def finite(value: Column) -> Column:
 
 def truth(text: Column) -> Column:
     """True or false by spelling; null for anything else, which means unknown."""
-    t = F.lower(F.trim(text))
+    t = F.lower(strip(text))
     return F.when(t.isin(*TRUTHY), True).when(t.isin(*FALSY), False)
 
 
@@ -63,7 +65,7 @@ def seconds_of(time: Column) -> Column:
 
 def safe_name(model: Column) -> Column:
     """The last part of a model's path in letters, digits, dots, hyphens and single underscores; ``model`` if none is left."""
-    last = F.substring_index(F.trim(model), "/", -1)
+    last = F.substring_index(strip(model), "/", -1)
     token = F.regexp_replace(F.regexp_replace(F.regexp_replace(last, r"[^0-9A-Za-z_.-]", "_"), "_+", "_"), "^[._-]+|[._-]+$", "")
     return F.when(token == "", "model").otherwise(token)
 
@@ -77,17 +79,17 @@ def trimmed_error(error: Column, most: int = 1000, head: int = 650) -> Column:
 
 def truncated(text: Column, limit: int) -> Column:
     """At most ``limit`` characters on one line, the last an ellipsis if something was cut."""
-    line = F.trim(F.regexp_replace(text, r"[\r\n]+", " "))
-    return F.when(F.length(line) <= limit, line).otherwise(F.concat(F.rtrim(F.substring(line, 1, limit - 1)), F.lit("…")))
+    line = strip(F.regexp_replace(text, r"[\r\n]+", " "))
+    return F.when(F.length(line) <= limit, line).otherwise(F.concat(strip(F.substring(line, 1, limit - 1)), F.lit("…")))
 
 
 def clean_prediction(text: Column, labels: list[str]) -> Column:
     """The first line of a model's output without leading ``label:`` marks, in any case."""
-    line = F.trim(F.regexp_extract(F.regexp_replace(text, r"^\s+", ""), r"^([^\r\n]*)", 1))
+    line = strip(F.regexp_extract(F.regexp_replace(text, f"^[{SPACE}]+", ""), r"^([^\r\n]*)", 1))
     for label in labels:
         quoted = "".join(c if c.isalnum() or c == "_" else rf"\x{{{ord(c):x}}}" for c in label)
         line = F.regexp_replace(line, rf"(?i)^\s*{quoted}\s*:\s*", "")
-    return F.trim(line)
+    return strip(line)
 
 
 def reply_scores(reply: Column, expected: int, out_of_range: str = "clip") -> Column:

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import letter_count, script_share
+from corpusloom.functions.text import letter_count, script_share, strip
 from corpusloom.functions.values import clip, finite, score_bin, stable_uniform
 from corpusloom.operators.keys import join_groups
 from corpusloom.operators.prefix import running_sum
@@ -75,7 +75,7 @@ def rejection_reasons(source: Column, target: Column, source_lang: Column, targe
                       lid_bad: tuple[Column, Column] = (), config: JointConfig = JointConfig()) -> Column:
     """Bits of the reasons to reject a row, 0 for none. ``lid_bad``: per side, whether both models agree with
     confidence on another language."""
-    empty = F.coalesce(F.trim(source) == "", F.lit(True)) | F.coalesce(F.trim(target) == "", F.lit(True))
+    empty = F.coalesce(strip(source) == "", F.lit(True)) | F.coalesce(strip(target) == "", F.lit(True))
     copy = ~empty & F.coalesce(same, F.lit(False)) & (script_of(source_lang) != script_of(target_lang)) & (
         wrong_script(source, source_lang, config.copy_letters, config.script_share) | wrong_script(target, target_lang, config.copy_letters, config.script_share)
     )

@@ -16,6 +16,12 @@ TAILS = {"p001": 0.001, "p01": 0.01, "p05": 0.05, "median": 0.5, "p95": 0.95, "p
 SCORE_QUANTILES = {"p01": 0.01, "p05": 0.05, "p10": 0.10, "p25": 0.25, "p50": 0.50, "p75": 0.75, "p90": 0.90, "p95": 0.95, "p99": 0.99}
 
 
+def correlation(a: str, b: str) -> Column:
+    """Pearson's correlation; null where a side doesn't vary."""
+    spread = F.stddev_pop(a) * F.stddev_pop(b)
+    return F.when(spread > 0, F.covar_pop(a, b) / spread)
+
+
 def unpivot(rows: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
     """``keys, feature, value``; values as doubles."""
     return rows.select(*keys, *[F.col(f).cast("double").alias(f) for f in features]).unpivot(keys, features, "feature", "value")
@@ -85,7 +91,7 @@ def spearman(rows: DataFrame, keys: list[str], features: list[str]) -> DataFrame
         ranks = places.select(*keys, f, (F.col("_to") - (F.col("_n") - 1) / 2.0).alias(f"_{f}"))
         ranked = join_groups(ranked, ranks, [*keys, f])
     pairs = list(combinations_with_replacement(features, 2))
-    wide = ranked.groupBy(*keys).agg(*[F.corr(f"_{a}", f"_{b}").alias(f"{a}|{b}") for a, b in pairs])
+    wide = ranked.groupBy(*keys).agg(*[correlation(f"_{a}", f"_{b}").alias(f"{a}|{b}") for a, b in pairs])
     long = wide.unpivot(keys, [f"{a}|{b}" for a, b in pairs], "pair", "correlation")
     return long.select(*keys, F.split("pair", r"\|")[0].alias("feature_a"), F.split("pair", r"\|")[1].alias("feature_b"), "correlation")
 
@@ -95,7 +101,7 @@ def agreement(rows: DataFrame, keys: list[str], a: str, b: str, within: float =
     both = rows.select(*keys, F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b")).filter("a is not null and b is not null")
     both = both.withColumn("d", F.col("a") - F.col("b"))
     moments = both.groupBy(*keys).agg(
-        F.count("*").alias("n"), F.corr("a", "b").alias("pearson"), F.avg("d").alias("mean_diff"), F.stddev_pop("d").alias("std_diff"),
+        F.count("*").alias("n"), correlation("a", "b").alias("pearson"), F.avg("d").alias("mean_diff"), F.stddev_pop("d").alias("std_diff"),
         F.avg((F.abs("d") <= within).cast("int")).alias("share_close"),
     )
     return join_groups(moments, exact_quantiles(both, keys, "d", {"median_diff": 0.5}), keys, "left")

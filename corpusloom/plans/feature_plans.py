@@ -151,8 +151,8 @@ def part_paths(spark: SparkSession, d: str) -> DataFrame:
     return paths.select("pair_id", *[c.alias(k) for k, c in path_fields(F.col("path")).items()]).distinct()
 
 
-@query("""SELECT doc_id, CASE WHEN length(line) <= 80 THEN line ELSE rtrim(substr(line, 1, 79)) || '…' END AS shown, greatest(1, length(text) // 3) AS tokens_in, 60 + 20 * (doc_id % 7) AS tokens_out,
-coalesce(translate(text, E'\\t\\r\\n', '   '), '') AS flat FROM (SELECT *, trim(regexp_replace(text, '[\\r\\n]+', ' ', 'g')) AS line FROM documents) WHERE text IS NOT NULL""".replace("\\\\", "\\"))
+@query("SELECT doc_id, CASE WHEN length(line) <= 80 THEN line ELSE " + "regexp_replace(substr(line, 1, 79), '^[" + WS + "]+|[" + WS + "]+$', '', 'g')" + """ || '…' END AS shown, greatest(1, length(text) // 3) AS tokens_in, 60 + 20 * (doc_id % 7) AS tokens_out,
+coalesce(translate(text, E'\\t\\r\\n', '   '), '') AS flat FROM (SELECT *, """ + "regexp_replace(regexp_replace(text, '[\\r\\n]+', ' ', 'g'), '^[" + WS + "]+|[" + WS + "]+$', '', 'g') AS line FROM documents) WHERE text IS NOT NULL")
 def prompt_parts(spark: SparkSession, d: str) -> DataFrame:
     t = F.col("text")
     return table(spark, d, "documents").filter(t.isNotNull()).select(
@@ -190,8 +190,15 @@ def trimmed_errors(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", V.trimmed_error(F.col("text")).alias("error"))
 
 
-@query(r"""SELECT doc_id, trim(regexp_replace(regexp_replace(line, '^[ \t]*German[ \t]*:[ \t]*', '', 'i'), '^[ \t]*deu_Latn[ \t]*:[ \t]*', '', 'i')) AS prediction FROM (
-SELECT doc_id, trim(regexp_extract(regexp_replace('German: ' || text, '^[ \t\n\f\r]+', ''), '^([^\r\n]*)', 1)) AS line FROM documents)""")
+def _strip_sql(text: str) -> str:
+    return f"regexp_replace({text}, '^[{WS}]+|[{WS}]+$', '', 'g')"
+
+
+_UNLABELLED = r"regexp_replace(regexp_replace(line, '^\s*German\s*:\s*', '', 'i'), '^\s*deu_Latn\s*:\s*', '', 'i')"
+_FIRST_LINE = "regexp_extract(" + _strip_sql("'German: ' || text") + r", '^([^\r\n]*)', 1)"
+
+
+@query(f"SELECT doc_id, {_strip_sql(_UNLABELLED)} AS prediction FROM (SELECT doc_id, {_strip_sql(_FIRST_LINE)} AS line FROM documents)")
 def clean_predictions(spark: SparkSession, d: str) -> DataFrame:
     raw = F.concat(F.lit("German: "), "text")
     return table(spark, d, "documents").select("doc_id", V.clean_prediction(raw, ["German", "deu_Latn"]).alias("prediction"))

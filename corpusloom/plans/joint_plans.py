@@ -50,7 +50,7 @@ _SAME = "trim(regexp_replace(nfc_normalize(source_text), '[" + T.SPACE + "]+', '
 
 _SCORED = rf"""{_ROWS}, base AS (SELECT o.pair_id, o.lang_pair, o.corpus, o.src_lang, o.tgt_lang, o.source_text, o.target_text, o.similarity_score::DOUBLE AS sim, q.qe_score AS qe, coalesce(q.reliability, 0.75) AS reliability, j.j,
   l.src_id_glotlid, l.src_id_conlid, l.src_conf_glotlid, l.src_conf_conlid, l.tgt_id_glotlid, l.tgt_id_conlid, l.tgt_conf_glotlid, l.tgt_conf_conlid, length(o.source_text) AS src_chars, length(o.target_text) AS tgt_chars,
-  coalesce(trim(o.source_text) = '', true) OR coalesce(trim(o.target_text) = '', true) AS is_empty
+  coalesce(regexp_matches(o.source_text, '^[{T.SPACE}]*$'), true) OR coalesce(regexp_matches(o.target_text, '^[{T.SPACE}]*$'), true) AS is_empty
   FROM one o JOIN lid l USING (pair_id) LEFT JOIN qe q USING (pair_id) LEFT JOIN judge j USING (pair_id)),
 marked AS (SELECT *, least({_evidence_sql('src')}, {_evidence_sql('tgt')}) AS lang_score,
   CASE WHEN is_empty THEN 1 ELSE 0 END

@@ -29,14 +29,8 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 def plain(value):
     if isinstance(value, bool) or value is None or isinstance(value, str):
         return value
-    if isinstance(value, decimal.Decimal):
-        value = float(value)
-    if isinstance(value, float):
-        if math.isnan(value):
-            return "nan"
-        return round(value, 6) + 0.0 if math.isfinite(value) else value
-    if isinstance(value, int):
-        return float(value)
+    if isinstance(value, (int, float, decimal.Decimal)):
+        return "nan" if math.isnan(value) else float(value)
     if isinstance(value, datetime.datetime):
         return value.replace(tzinfo=None).isoformat()
     if isinstance(value, (list, tuple)):
@@ -46,9 +40,26 @@ def plain(value):
     return str(value)
 
 
+def exact_part(value):
+    """What rows are ordered by: floats only to the digits that rounding errors can't touch."""
+    if isinstance(value, tuple):
+        return tuple(map(exact_part, value))
+    if isinstance(value, float) and not value.is_integer():
+        return "", round(value, 2)
+    return repr(value), 0.0
+
+
+def close(a, b) -> bool:
+    if isinstance(a, tuple) and isinstance(b, tuple):
+        return len(a) == len(b) and all(map(close, a, b))
+    if isinstance(a, float) and isinstance(b, float):
+        return math.isclose(a, b, rel_tol=1e-7, abs_tol=1e-7)
+    return type(a) is type(b) and a == b
+
+
 def rows(names: list[str], data) -> list[tuple]:
     order = sorted(range(len(names)), key=lambda i: names[i])
-    return sorted((tuple(plain(r[i]) for i in order) for r in data), key=repr)
+    return [tuple(plain(r[i]) for i in order) for r in data]
 
 
 def compare(df, con, sql: str) -> str:
@@ -58,7 +69,12 @@ def compare(df, con, sql: str) -> str:
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} against {sorted(names)}"
     ours, theirs = rows(df.columns, df.collect()), rows(names, data)
-    if ours != theirs:
-        a, b = set(map(repr, ours)), set(map(repr, theirs))
-        return f"{len(ours)} rows against {len(theirs)}; only here {sorted(a - b)[:3]}, only there {sorted(b - a)[:3]}"
+    if len(ours) != len(theirs):
+        return f"{len(ours)} rows against {len(theirs)}; only here {[r for r in ours if r not in set(theirs)][:3]}, only there {[r for r in theirs if r not in set(ours)][:3]}"
+    # Whole columns first: keys order the rows, and only then values that may differ in their last digits.
+    exact = [k for k in range(len(names)) if all(not isinstance(r[k], float) or r[k].is_integer() for r in ours + theirs)]
+    key = lambda r: (tuple(repr(r[k]) for k in exact), repr(tuple(map(exact_part, r))))
+    for a, b in zip(sorted(ours, key=key), sorted(theirs, key=key)):
+        if not close(a, b):
+            return f"{len(ours)} rows; {a} against {b}"
     return ""
