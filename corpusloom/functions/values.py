@@ -180,3 +180,12 @@ def cosine(a: Column, b: Column) -> Column:
     dot = F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)
     norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x)) + 1e-9
     return clip(dot / (norm(a) * norm(b)), -1.0, 1.0)
+
+
+def pair_checker(source_lang: Column, target_lang: Column, own: list[str]) -> Column:
+    """Name of the classifier for a direction: ``full-<root>`` from English into a root that has its own, ``full-en-xx``
+    for any other pair with English, ``none`` without it or without a code."""
+    root = lambda c: F.split_part(c, F.lit("_"), F.lit(1))
+    special = (source_lang == "eng_Latn") & root(target_lang).isin(*own)
+    english = (root(source_lang) == "eng") | (root(target_lang) == "eng")
+    return F.when(special, F.concat(F.lit("full-"), root(target_lang))).when(english, "full-en-xx").otherwise("none")

@@ -8,9 +8,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.operators.keys import join_groups
+from corpusloom.operators.prefix import row_numbers, running_sum
+from corpusloom.storage import materialize
+
 
 def keep_one(rows: DataFrame, keys: list[str], order: list[str], last: bool = False) -> DataFrame:
     """One whole row per ``keys``: the first (or last) by ``order``, then by all other columns; null keys are equal."""
@@ -54,16 +58,19 @@ def copies_distribution(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def first_blocks(rows: DataFrame, sequence: list[str], order: list[str], key: str) -> DataFrame:
-    """Rows of each key's first contiguous block in every ordered sequence, with ``block_no``.
+    """Rows of each key's first contiguous block in every ordered sequence, with ``block_no`` from 1.
 
-    A sequence is what one writer appended (a file, a user, a worker), and is ordered as a whole.
+    A sequence is what one writer appended (a file, a user, a worker); ``order`` must be total in it. Row numbers, the
+    look at the row before and the numbers of blocks are all computed over slices, so that a sequence may be of any
+    length. Null keys are a key.
     """
-    w = Window.partitionBy(*sequence).orderBy(*order)
-    changed = F.when(F.lag(key).over(w).eqNullSafe(F.col(key)) & (F.row_number().over(w) > 1), 0).otherwise(1)
-    blocks = rows.withColumn("_new", changed).withColumn("block_no", F.sum("_new").over(w)).drop("_new")
+    numbered = materialize(row_numbers(rows, sequence, [F.col(c) for c in order], "_n"), "blocks")
+    before = numbered.select(*sequence, (F.col("_n") + 1).alias("_n"), F.col(key).alias("_k"))
+    changed = F.when((F.col("_n") > 1) & F.col(key).eqNullSafe(F.col("_k")), 0).otherwise(1)
+    marked = join_groups(numbered, before, [*sequence, "_n"], "left").withColumn("_new", changed).drop("_k")
+    blocks = materialize(running_sum(marked, sequence, [F.col("_n")], F.col("_new").cast("bigint"), "block_no").drop("_new", "_n"), "blocks")
     first = blocks.groupBy(*sequence, key).agg(F.min("block_no").alias("_first"))
-    match = reduce(lambda a, k: a & F.col(f"b.{k}").eqNullSafe(F.col(f"f.{k}")), [*sequence, key], F.lit(True))
-    return blocks.alias("b").join(first.alias("f"), match).filter("block_no = _first").select("b.*")
+    return join_groups(blocks, first, [*sequence, key]).filter("block_no = _first").drop("_first")
 
 
 def both_directions(pairs: DataFrame, source_lang: str, target_lang: str, swaps: dict[str, str], pair: tuple[str, str]) -> DataFrame:

@@ -85,22 +85,28 @@ def tau_name(tau: float) -> str:
     return "tau_" + f"{tau:.12g}".replace("-", "neg_").replace(".", "_")
 
 
-def retained_at(score: Column, taus: list[float], rows: Column) -> list[Column]:
-    """Rows at or above each threshold, and their percentage of ``rows`` to four places."""
-    out = []
-    for tau in taus:
-        n = F.count_if(~F.isnan(score) & (score >= tau))
-        out += [n.alias(f"retained_{tau_name(tau)}"), F.round(100.0 * n / F.nullif(rows, F.lit(0)), 4).alias(f"retained_{tau_name(tau)}_pct")]
-    return out
-
-
-def scale_counts(rows: Column) -> list[Column]:
-    return [
+def per_direction(rows: DataFrame, keys: list[str], taus: list[float]) -> DataFrame:
+    """Rows of scores brought down to one per ``keys``, model and direction: rows, scored rows, and rows at or above
+    each threshold. All that follows counts on this small table."""
+    s = F.col("qe_score")
+    held = [F.count_if(~F.isnan(s) & (s >= tau)).alias(tau_name(tau)) for tau in taus]
+    return rows.groupBy(*keys, "qe_model", "direction_key", "src_lang", "tgt_lang").agg(F.count("*").alias("n"), F.count(s).alias("n_scored"), *held)
+
+
+def scale(counted: DataFrame, by: list[str], taus: list[float]) -> DataFrame:
+    """Distinct models, directions and languages, rows, null scores, and retention in rows and per cent to four places."""
+    total = F.coalesce(F.sum("n"), F.lit(0))
+    scored = F.coalesce(F.sum("n_scored"), F.lit(0))
+    out = [
         F.count_distinct("qe_model").alias("models_scored"), F.count_distinct("direction_key").alias("directions_scored"),
-        F.count_distinct("qe_model", "direction_key").alias("model_direction_pairs_scored"), rows.alias("sentence_pairs_scored"),
+        F.count_distinct("qe_model", "direction_key").alias("model_direction_pairs_scored"), total.alias("sentence_pairs_scored"),
         F.count_distinct("src_lang").alias("source_langs"), F.count_distinct("tgt_lang").alias("target_langs"),
-        F.count("qe_score").alias("non_null_scores"), (rows - F.count("qe_score")).alias("null_scores"),
+        scored.alias("non_null_scores"), (total - scored).alias("null_scores"),
     ]
+    for tau in taus:
+        n = F.coalesce(F.sum(tau_name(tau)), F.lit(0))
+        out += [n.alias(f"retained_{tau_name(tau)}"), F.round(100.0 * n / F.nullif(total, F.lit(0)), 4).alias(f"retained_{tau_name(tau)}_pct")]
+    return counted.groupBy(*by).agg(*out)
 
 
 def coverage(source: Column, target: Column) -> Column:
@@ -114,12 +120,7 @@ def english_centric(source: Column, target: Column) -> Column:
 
 
 def by_category(rows: DataFrame, category: str, names: list[str], taus: list[float]) -> DataFrame:
-    """Scale and retention of each listed category in its order; one without rows appears with zeros.
-
-    Every category holds whole columns of distinct values only, which are counted on the map side first.
-    """
-    spark = rows.sparkSession
-    listed = spark.createDataFrame([(n, i) for i, n in enumerate(names, 1)], f"{category} string, sort_order int")
-    joined = listed.join(rows, category, "left")
-    n = F.count("direction_key")
-    return joined.groupBy(category, "sort_order").agg(*scale_counts(n), *retained_at(F.col("qe_score"), taus, n))
+    """Scale and retention of each listed category in its order; one without rows appears with zeros."""
+    listed = rows.sparkSession.createDataFrame([(n, i) for i, n in enumerate(names, 1)], f"{category} string, sort_order int")
+    counted = per_direction(rows, [category], taus)
+    return scale(listed.join(counted, category, "left"), [category, "sort_order"], taus)

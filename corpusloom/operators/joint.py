@@ -13,6 +13,7 @@ from corpusloom.functions.text import letter_count, script_share, strip
 from corpusloom.functions.values import clip, finite, score_bin, stable_uniform
 from corpusloom.operators.keys import join_groups
 from corpusloom.operators.prefix import running_sum
+from corpusloom.storage import materialize
 
 #: Reasons for which a row is rejected outright, as bits.
 EMPTY_TEXT, COPY_WRONG_SCRIPT, LID_WRONG_SCRIPT, MISSING_SEMANTICS = 1, 2, 4, 8
@@ -95,7 +96,7 @@ def rejection_reasons(source: Column, target: Column, source_lang: Column, targe
 def mid_ranks(rows: DataFrame, group: list[str], value: str, name: str) -> DataFrame:
     """``rows`` with the empirical distribution function at ``value`` within the group, ties at their middle; null
     for null values. Computed from counts of distinct values, so a group of any size is spread over the cluster."""
-    counted = rows.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_n"))
+    counted = materialize(rows.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_n")), "counted")
     sizes = counted.groupBy(*group).agg(F.sum("_n").alias("_all"))
     ranks = join_groups(running_sum(counted, group, [F.col(value)], F.col("_n"), "_to"), sizes, group)
     ranks = ranks.select(*group, value, ((2 * F.col("_to") - F.col("_n")) / (2 * F.col("_all"))).alias(name))

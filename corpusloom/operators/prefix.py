@@ -48,6 +48,7 @@ def exact_quantiles(rows: DataFrame, keys: list[str], value: str, probabilities:
         rows.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v is not null and not isnan(_v)")
         .groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
     )
+    counted = materialize(counted, "counted")  # sorting reads it twice, and so do the sizes
     summed = running_sum(counted, keys, [F.col("_v")], F.col("_n"), "_to")
     sizes = counted.groupBy(*keys).agg(F.sum("_n").alias("_all"))
     ranked = join_groups(summed, sizes, keys)
@@ -65,7 +66,7 @@ def percent_ranks(rows: DataFrame, group: list[str], value: str, name: str = "pe
 
     Ranks are computed on distinct values with their counts and joined back. Null values sort first.
     """
-    counted = rows.groupBy(*group, value).agg(F.count("*").alias("_n"))
+    counted = materialize(rows.groupBy(*group, value).agg(F.count("*").alias("_n")), "counted")
     summed = running_sum(counted, group, [F.col(value).asc_nulls_first()], F.col("_n"), "_to")
     sizes = counted.groupBy(*group).agg(F.sum("_n").alias("_all"))
     place = F.when(F.col("_all") > 1, (F.col("_to") - F.col("_n")) / (F.col("_all") - 1)).otherwise(0.0)

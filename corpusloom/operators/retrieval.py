@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.operators.keys import join_groups
+
 #: Vectors of one side that a task compares at a time.
 BLOCK = 1024
 
@@ -16,20 +18,22 @@ def unit_rows(x: np.ndarray) -> np.ndarray:
     return x / (np.linalg.norm(x, axis=1, keepdims=True) + 1e-9)
 
 
-def diagonal_ranks(vectors: DataFrame, keys: list[str], row_id: str, a: str, b: str, block: int = BLOCK) -> DataFrame:
+def diagonal_ranks(vectors: DataFrame, keys: list[str], row_id: str, a: str, b: str, block: int = BLOCK, queries: Column | None = None) -> DataFrame:
     """``keys, row_id, rank``: the place of each row's own ``b`` among all ``b`` of its group by cosine with its ``a``.
 
-    rank = 1 + the number of others that are more similar, so ties don't count against a row. The rows of a group are
-    its queries and are compared with all of its candidates, block by block: each group is cut into blocks by hash,
-    each query block meets each candidate block as matrices, and the counts are summed. No task holds more than two
-    blocks, and no pair is ever a row.
+    rank = 1 + the number of others that are more similar, so ties don't count against a row. The rows of a group (those
+    for which ``queries`` holds) are compared with all of its candidates, block by block: each group is cut into blocks
+    by hash, each query block meets each candidate block as matrices, and the counts are summed. No task holds more than
+    two blocks, and no pair is ever a row. Rows with a null vector or id are left out.
     """
+    vectors = vectors.dropna(subset=[row_id, a, b])
     sizes = vectors.groupBy(*keys).agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks"))
-    parts = vectors.join(sizes, keys).withColumn("_part", F.pmod(F.xxhash64(row_id), F.col("_blocks")).cast("int"))
+    parts = join_groups(vectors, sizes, keys).withColumn("_part", F.pmod(F.xxhash64(row_id), F.col("_blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    queries = parts.withColumn("_other", other).select(*keys, F.col("_part").alias("_q"), F.col("_other").alias("_c"), F.lit(0).alias("_side"), row_id, F.col(a).alias("v"), F.col(b).alias("own"))
+    asking = parts if queries is None else parts.filter(queries)
+    asked = asking.withColumn("_other", other).select(*keys, F.col("_part").alias("_q"), F.col("_other").alias("_c"), F.lit(0).alias("_side"), row_id, F.col(a).alias("v"), F.col(b).alias("own"))
     candidates = parts.withColumn("_other", other).select(*keys, F.col("_other").alias("_q"), F.col("_part").alias("_c"), F.lit(1).alias("_side"), row_id, F.col(b).alias("v"), F.lit(None).alias("own"))
-    both = queries.unionByName(candidates)
+    both = asked.unionByName(candidates)
 
     def count(frame: pd.DataFrame) -> pd.DataFrame:
         q, c = frame[frame["_side"] == 0], frame[frame["_side"] == 1]

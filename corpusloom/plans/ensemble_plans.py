@@ -43,10 +43,10 @@ def detail_and_summary(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {SCORES} SELECT qe_model, count(*) AS n_rows, count(*) FILTER (qe_score IS NULL) AS null_scores, count(DISTINCT direction_key) AS directions,
 count(DISTINCT CASE WHEN qe_score IS NULL THEN direction_key END) AS directions_with_nulls FROM scores GROUP BY 1""")
 def score_validation(spark: SparkSession, d: str) -> DataFrame:
-    missing = F.col("qe_score").isNull()
-    return scores(spark, d).groupBy("qe_model").agg(
-        F.count("*").alias("n_rows"), F.count_if(missing).alias("null_scores"), F.count_distinct("direction_key").alias("directions"),
-        F.count_distinct(F.when(missing, F.col("direction_key"))).alias("directions_with_nulls"),
+    small = scores(spark, d).groupBy("qe_model", "direction_key").agg(F.count("*").alias("n"), F.count_if(F.col("qe_score").isNull()).alias("missing"))
+    return small.groupBy("qe_model").agg(
+        F.sum("n").alias("n_rows"), F.sum("missing").alias("null_scores"), F.count("direction_key").alias("directions"),
+        F.count(F.when(F.col("missing") > 0, F.col("direction_key"))).alias("directions_with_nulls"),
     )
 
 
@@ -116,14 +116,12 @@ def _covered(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {_COVERED} SELECT {_scale_sql('count(*)')} FROM grouped")
 def scale_summary(spark: SparkSession, d: str) -> DataFrame:
-    n = F.count("*")
-    return _covered(spark, d).agg(*en.scale_counts(n), *en.retained_at(F.col("qe_score"), TAUS, n))
+    return en.scale(en.per_direction(_covered(spark, d), [], TAUS), [], TAUS)
 
 
 @query(f"WITH {_COVERED} SELECT qe_model, {_scale_sql('count(*)').replace('count(DISTINCT qe_model) AS models_scored, ', '')} FROM grouped GROUP BY 1")
 def retention_at_tau(spark: SparkSession, d: str) -> DataFrame:
-    n = F.count("*")
-    return _covered(spark, d).groupBy("qe_model").agg(*en.scale_counts(n)[1:], *en.retained_at(F.col("qe_score"), TAUS, n))
+    return en.scale(en.per_direction(_covered(spark, d), [], TAUS), ["qe_model"], TAUS).drop("models_scored")
 
 
 def _categories_sql(category: str, names: list[str]) -> str:
@@ -198,18 +196,23 @@ def cosine_pairs(spark: SparkSession, d: str) -> DataFrame:
     return _vectors(spark, d).select("vec_id", cosine(F.col("va"), F.col("vb")).alias("similarity"))
 
 
-_MRR = f"""{_VEC}, sims AS (SELECT x.label, x.vec_id, y.vec_id AS other, list_cosine_similarity(x.va::DOUBLE[], y.vb::DOUBLE[]) AS s FROM vec x JOIN vec y ON x.label = y.label),
-ranks AS (SELECT label, vec_id, 1 + count(*) FILTER (other <> vec_id AND s > own) AS rank FROM (SELECT *, max(CASE WHEN other = vec_id THEN s END) OVER (PARTITION BY label, vec_id) AS own FROM sims) GROUP BY 1, 2)"""
+_MRR = f"""{_VEC}, sims AS (SELECT x.label, x.vec_id, y.vec_id AS other, list_cosine_similarity(x.va::DOUBLE[], y.vb::DOUBLE[]) AS s FROM vec x JOIN vec y ON x.label = y.label WHERE x.vec_id % 50 = 0),
+ranks AS (SELECT label, vec_id, 1 + count(*) FILTER (other <> vec_id AND s > own + 1e-12) AS rank FROM (SELECT *, max(CASE WHEN other = vec_id THEN s END) OVER (PARTITION BY label, vec_id) AS own FROM sims) GROUP BY 1, 2)"""
+
+
+def _ranks(spark: SparkSession, d: str) -> DataFrame:
+    """The stated query set of a search, every fiftieth id, against all rows of its group."""
+    return retrieval.diagonal_ranks(_vectors(spark, d), ["label"], "vec_id", "va", "vb", queries=F.col("vec_id") % 50 == 0)
 
 
 @query(f"WITH {_MRR} SELECT label, vec_id, rank FROM ranks")
 def retrieval_ranks(spark: SparkSession, d: str) -> DataFrame:
-    return retrieval.diagonal_ranks(_vectors(spark, d), ["label"], "vec_id", "va", "vb")
+    return _ranks(spark, d)
 
 
 @query(f"WITH {_MRR} SELECT label, count(*) AS n, avg(1.0::DOUBLE / rank) AS mrr, avg(rank) AS avg_rank FROM ranks GROUP BY 1")
 def retrieval_mrr(spark: SparkSession, d: str) -> DataFrame:
-    return retrieval.retrieval_summary(retrieval.diagonal_ranks(_vectors(spark, d), ["label"], "vec_id", "va", "vb"), ["label"])
+    return retrieval.retrieval_summary(_ranks(spark, d), ["label"])
 
 
 #: Benchmark results stand in for models that aren't here: fixed arithmetic over nations.
@@ -299,3 +302,12 @@ def aliased_languages(spark: SparkSession, d: str) -> DataFrame:
 def completed_results(spark: SparkSession, d: str) -> DataFrame:
     """Finished runs whose name fits a pattern."""
     return table(spark, d, "orders").filter((F.col("o_orderstatus") == "F") & F.col("o_orderpriority").rlike("^[12]-")).select("o_orderkey", "o_orderstatus")
+
+
+@query()
+def corpus_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """BLEU and chrF++ of a pair's text against its copy in the evaluation sample, per language pair."""
+    from corpusloom.operators.metrics import corpus_metrics as metrics
+
+    rows = table(spark, d, "eval_sample").select("lang1_code", F.col("lang1_text").alias("h"), F.col("lang2_text").alias("r"))
+    return metrics(rows, ["lang1_code"], "h", "r")

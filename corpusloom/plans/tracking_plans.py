@@ -126,3 +126,25 @@ def balanced_chunks(spark: SparkSession, d: str) -> DataFrame:
     sizes = {r.corpus or "": r.n for r in table(spark, d, "bitext").groupBy("corpus").agg(F.count("*").alias("n")).collect()}
     packed = budget.pack_bins(sizes, 4)
     return spark.createDataFrame([(i, name, sizes[name]) for i, names in enumerate(packed) for name in names], "chunk int, corpus string, n_rows bigint")
+
+
+@query(f"WITH {_WON} SELECT event_id FROM trace t WHERE EXISTS (SELECT 1 FROM won w WHERE w.direction_key = t.direction_key AND w.shard_id = t.shard_id)")
+def committed_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of shards that a checkpoint has."""
+    t = trace(spark, d)
+    return t.join(t.filter("event = 'done'").select(*KEYS), KEYS, "left_semi").select("event_id")
+
+
+@query(f"WITH {_WON} SELECT event_id FROM trace t WHERE NOT EXISTS (SELECT 1 FROM won w WHERE w.direction_key = t.direction_key AND w.shard_id = t.shard_id)")
+def uncommitted_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Rows that compaction may still append."""
+    t = trace(spark, d)
+    return t.join(t.filter("event = 'done'").select(*KEYS), KEYS, "left_anti").select("event_id")
+
+
+@query("SELECT DISTINCT src_lang, tgt_lang, CASE WHEN split_part(src_lang, '_', 1) = 'eng' OR split_part(tgt_lang, '_', 1) = 'eng' THEN CASE WHEN src_lang = 'eng_Latn' AND split_part(tgt_lang, '_', 1) IN ('deu', 'fra', 'spa') THEN 'full-' || split_part(tgt_lang, '_', 1) ELSE 'full-en-xx' END ELSE 'none' END AS checker FROM bitext")
+def pair_checkers(spark: SparkSession, d: str) -> DataFrame:
+    """Which pair classifier scores a direction: its own, the one for English and anything, or none."""
+    from corpusloom.functions.values import pair_checker
+
+    return table(spark, d, "bitext").select("src_lang", "tgt_lang").distinct().select("*", pair_checker(F.col("src_lang"), F.col("tgt_lang"), ["deu", "fra", "spa"]).alias("checker"))

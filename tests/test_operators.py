@@ -352,3 +352,40 @@ def test_streams(spark, tmp_path):
     assert spark.table("firsts").count() == 2
     w = ingest.completions_per_window(spark.read.parquet(events), ["direction_key"], "at").first()
     assert w.n == 3
+
+
+# --- later additions --------------------------------------------------------------------------------------------------
+def test_corpus_metrics(spark):
+    from corpusloom.operators import metrics
+
+    df = spark.createDataFrame([("same", "the cat sat on the mat", "the cat sat on the mat"), ("none", "x", "y z"), ("null", None, "a"), ("null", "a", None)], "g string, h string, r string")
+    got = {r.g: r for r in metrics.corpus_metrics(df, ["g"], "h", "r").collect()}
+    assert got["same"].bleu == pytest.approx(100) and got["same"].chrf == pytest.approx(100)
+    assert got["none"].bleu == 0 and got["none"].chrf == 0 and got["null"].n == 2
+    # 3 of 4 words, 1 of 3 pairs: no triples match.
+    c = metrics.match_counts("a b c d", "a b x d")
+    assert c[:8] == [4, 4, 3, 4, 4, 1, 3, 3]
+    assert metrics.corpus_metrics(df.filter("false"), ["g"], "h", "r").count() == 0
+
+
+def test_blocks_with_nulls_and_long_sequences(spark):
+    rnd = random.Random(9)
+    data = [(s, i, k) for s in ("a", None) for i, k in enumerate(rnd.choices(["x", "y", None], k=300))]
+    df = spark.createDataFrame(data, "s string, i int, k string").withColumn("block", F.lit("clash"))
+    got = {(r.s, r.i): r.block_no for r in dedup.first_blocks(df, ["s"], ["i"], "k").collect()}
+    want = {}
+    for s in ("a", None):
+        first, number, last = {}, 0, object()
+        for _, i, k in (r for r in data if r[0] == s):
+            if k != last:
+                number, last = number + 1, k
+            first.setdefault(k, number)
+            if first[k] == number:
+                want[(s, i)] = number
+    assert got == want
+
+
+def test_query_subset_of_retrieval(spark):
+    df = spark.createDataFrame([(i, [float(i), 1.0], [float(i), 1.0]) for i in range(5)] + [(9, None, [1.0, 1.0])], "id int, a array<double>, b array<double>").withColumn("g", F.lit(None).cast("string"))
+    got = retrieval.diagonal_ranks(df, ["g"], "id", "a", "b", queries=F.col("id") == 3)
+    assert rows_of(got.select("id", "rank")) == [(3, 1)]
