@@ -6,8 +6,12 @@ interactive use only.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     return (
@@ -23,7 +27,17 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
     )
 
 
+def _find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, whatever their working folder.
+
+    On machines without that folder the package comes with ``--py-files`` or is installed."""
+    environment = spark.sparkContext.environment
+    if ROOT not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [environment.get("PYTHONPATH"), ROOT]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
