@@ -31,7 +31,7 @@ BUCKET_BITS, ORDERS = 17, (1, 2, 3, 4)
 CHANGE_SENTENCE, CHANGE_WEAK, CHANGE_INSIDE = 4.0, 25.0, 60.0
 _WORD = regex.compile(r"\p{Han}+|(?:(?!\p{Han})[\p{L}\p{M}])+(?:['’](?:(?!\p{Han})[\p{L}\p{M}])+)*")
 _END = regex.compile(r"[.!?…;؟۔](?=[\p{P}\p{S}]*(?:\s|$))|[。！？]|\n")
-_WEAK = regex.compile(r"[()\[\]«»“”\"|/♪–—]")
+_WEAK = regex.compile(r"[()\[\]«»“”\"|/♪–—\t]|\s\s")
 #: Markup, entities, placeholders and addresses are no words.
 _MARKUP = regex.compile(r"</?[A-Za-z][^<>]*>|&(?:[A-Za-z]+|#\d+);|%(?:\d+\$)?[-+0-9.]*[A-Za-z]\b|\$?\{[^{}]*\}|https?://\S+|www\.\S+|\S+@\S+\.\S+")
 _SCRIPTS = [regex.compile(p) for p in (r"\p{Latin}", r"\p{Cyrillic}", r"\p{Greek}", r"\p{Han}", r"\p{Arabic}")]
