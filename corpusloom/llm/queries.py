@@ -15,6 +15,7 @@ from corpusloom.llm.ranking import combined_ranking
 from corpusloom.llm.scores import current_scores
 from corpusloom.llm.splitting import split_oversized
 from corpusloom.session import spread, table
+from corpusloom.storage import materialize
 
 #: The share of all pairs that one corpus may have, in percent, and the model whose score decides what is kept.
 CAP_PERCENT, CAP_MODEL = 4, "cometkiwi-da-xl"
@@ -51,8 +52,8 @@ def _capped(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """``pair_id, contributors, score`` of each pair with ``kept``, and the caps."""
     pairs = table(spark, d, "bitext").groupBy("pair_id").agg(F.collect_set(source_key(F.col("corpus"))).alias("contributors"))
     scores = current_scores(table(spark, d, "opus_scored"), table(spark, d, "qe_models"), CAP_MODEL).select("pair_id", F.col("qe_score").alias("score"))
-    records = pairs.filter("pair_id is not null").join(scores, "pair_id", "left")
-    n = table(spark, d, "bitext").agg(F.count_distinct("pair_id")).first()[0]
+    records = materialize(pairs.filter("pair_id is not null").join(scores, "pair_id", "left"), "capped-pairs")
+    n = records.count()  # one row a pair
     caps = records.select(F.explode("contributors").alias("contributor")).distinct().withColumn("cap", F.lit(n * CAP_PERCENT // 100).cast("bigint"))
     return records, cap_contributors(records, caps, "pair_id", "contributors", "score")
 
