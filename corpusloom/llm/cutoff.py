@@ -91,16 +91,16 @@ def keep_fraction(scores: DataFrame, source: str, score: str, fractions: DataFra
     has ``source, n_records, k, cutoff, n_kept``; a source with k = 0 keeps none and has no row, one without records
     neither. Null scores are no records.
     """
-    way = fractions.select(F.col(source).alias("f"), "keep_permille", F.when(F.col("higher_is_better"), 1.0).otherwise(-1.0).alias("way"))
-    best = scores.join(way, F.col(source) == F.col("f")).filter(F.col(score).isNotNull()).withColumn("_v", F.col(score) * F.col("way")).drop("f")
+    way = F.when(F.col("higher_is_better"), 1.0).otherwise(-1.0)
+    wanted = fractions.select(F.col(source).alias("_source"), F.col("keep_permille").alias("_permille"), way.alias("_way"))
+    best = scores.join(wanted, F.col(source) == F.col("_source")).filter(F.col(score).isNotNull()).withColumn("_value", F.col(score) * F.col("_way"))
     best = materialize(best, "scores")
-    sizes = best.groupBy(source).agg(F.count("*").alias("n_records"), F.first("keep_permille").alias("p"), F.first("way").alias("way"))
-    sizes = materialize(sizes.select(source, "n_records", "way", F.expr("(n_records * p + 999) div 1000").alias("k")), "sizes")
-    cutoffs = kth_value(best, source, "_v", sizes, bins)
-    kept = best.join(cutoffs, source).filter("_v >= cutoff").drop("_v", "cutoff", "above", "way", "keep_permille")
+    sizes = best.groupBy("_source").agg(F.count("*").alias("n_records"), F.first("_permille").alias("p"), F.first("_way").alias("way"))
+    sizes = materialize(sizes.select("_source", "n_records", "way", F.expr("(n_records * p + 999) div 1000").alias("k")), "sizes")
+    cutoffs = kth_value(best, "_source", "_value", sizes, bins).select("_source", F.col("cutoff").alias("_cutoff"))
+    kept = best.join(cutoffs, "_source").filter("_value >= _cutoff")
     report = (
-        kept.groupBy(source).agg(F.count("*").alias("n_kept"))
-        .join(sizes, source).join(cutoffs, source)
-        .select(source, "n_records", "k", (F.col("cutoff") * F.col("way")).alias("cutoff"), "n_kept")
+        kept.groupBy("_source").agg(F.count("*").alias("n_kept")).join(sizes, "_source").join(cutoffs, "_source")
+        .select(F.col("_source").alias(source), "n_records", "k", (F.col("_cutoff") * F.col("way")).alias("cutoff"), "n_kept")
     )
-    return report, kept
+    return report, kept.select(*scores.columns)

@@ -86,7 +86,7 @@ def replicate(records: DataFrame, plan: DataFrame, seed: int = 0) -> DataFrame:
     ``records`` has ``source_pair, record_id, size``; null sizes count 0, records of no source are left out."""
     chances = materialize(plan.select(*KEYS, _cdf("rate", "max_repeat").alias("cdf")), "mix-plan")
     u = uniform(seed, *[F.col(k) for k in KEYS], F.col("record_id"))
-    joined = records.join(chances, "source_pair").withColumn("u", u)
+    joined = records.select("source_pair", "record_id", "size").join(chances, "source_pair").withColumn("u", u)
     return joined.select(*KEYS, "record_id", F.coalesce("size", F.lit(0)).alias("size"), F.size(F.filter("cdf", lambda c: c <= F.col("u"))).alias("copies"))
 
 

@@ -112,6 +112,11 @@ def _mix(spark: SparkSession, d: str) -> DataFrame:
     return mixing_plan(table(spark, d, "source_plan"), table(spark, d, "pair_plan"))
 
 
+def p5_method(spark: SparkSession, d: str) -> DataFrame:
+    """The mixed records themselves, drawn from the whole of bitext: one row per copy, shuffled over all of them."""
+    return mixture(_records(spark, d), _mix(spark, d))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return mixing_report(_records(spark, d), _mix(spark, d)).filter("falls_short").select("dataset", "target_pair", "source_pair")
 
@@ -120,10 +125,6 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
     return mixing_report(_records(spark, d), _mix(spark, d))
 
 
-def p5_mix(spark: SparkSession, d: str) -> DataFrame:
-    return mixture(_records(spark, d), _mix(spark, d))
-
-
 # 6 ------------------------------------------------------------------------------------------------------------------
 def _kept(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     models = table(spark, d, "qe_models")
@@ -167,7 +168,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         p1_method, p1_tokens, p1_slices, p1_source_pairs, p2_ranking, p3_found, p3_report, p4_found, p4_segments, p4_texts,
-        p5_found, p5_report, p5_mix, p6_found, p6_cutoffs, p7_ids, p8_found, p8_leaks, p9_found, p9_pieces,
+        p5_method, p5_found, p5_report, p6_found, p6_cutoffs, p7_ids, p8_found, p8_leaks, p9_found, p9_pieces,
     )
 }
 

@@ -46,7 +46,7 @@ def test_kth_edges(spark):
 def test_keep_fraction(spark):
     rnd = random.Random(2)
     data = [(i, rnd.choice(["up", "down"]), rnd.choice([None, *range(10)])) for i in range(500)] + [(900, "zero", 1), (901, "other", 1)]
-    df = spark.createDataFrame([(i, s, None if v is None else float(v)) for i, s, v in data], "id int, src string, score double")
+    df = spark.createDataFrame([(i, s, None if v is None else float(v)) for i, s, v in data], "id int, src string, score double").withColumn("k", F.lit("clash")).withColumn("keep_permille", F.lit(7))
     fr = spark.createDataFrame([("up", 155, True), ("down", 333, False), ("zero", 0, True)], "src string, keep_permille int, higher_is_better boolean")
     report, kept = cutoff.keep_fraction(df, "src", "score", fr)
     kept = {r.id for r in kept.collect()}
@@ -188,7 +188,7 @@ def test_mixing_plan(spark):
 def test_mixture(spark):
     s, p = plans(spark)
     records = spark.range(4000).select(F.when(F.col("id") % 4 > 0, "big").otherwise("small").alias("source_pair"), F.col("id").alias("record_id"), F.when(F.col("id") != 5, 10).alias("size"), F.lit(1).alias("copies"))
-    records = records.unionByName(spark.createDataFrame([(None, 9001, 5, 1), ("unknown", 9002, 5, 1)], "source_pair string, record_id bigint, size int, copies int"))
+    records = records.unionByName(spark.createDataFrame([(None, 9001, 5, 1), ("unknown", 9002, 5, 1)], "source_pair string, record_id bigint, size int, copies int")).withColumn("dataset", F.lit("clash")).withColumn("cdf", F.lit(1))
     plan = mixing.mixing_plan(s, p)
     report = {r.source_pair: r for r in mixing.mixing_report(records, plan).filter("target_pair = 't'").collect()}
     assert report["small"].actual_records == 3000 and report["small"].actual_tokens == 30_000  # at its cap: each record three times
