@@ -75,6 +75,14 @@ def map_languages(rows: DataFrame, mapping: DataFrame, columns: list[str]) -> Da
     return rows
 
 
+def normalised_code(code: Column, script: Column, fixes: dict[str, str] | None = None) -> Column:
+    """A language code as ``xxx_Ssss``: a fixed one by the map, one that has the form as it is, a bare three-letter code
+    with the script of its texts, anything else ``und_Zyyy``."""
+    fixed = F.create_map(*[F.lit(x) for kv in fixes.items() for x in kv])[code] if fixes else F.lit(None).cast("string")
+    bare = F.when(code.rlike("^[a-z]{3}$"), F.concat(code, F.lit("_"), F.coalesce(script, F.lit("Zyyy"))))
+    return F.coalesce(fixed, F.when(code.rlike("^[a-z]{3}_[A-Z][a-z]{3}$"), code), bare, F.lit("und_Zyyy"))
+
+
 def majority_script(rows: DataFrame, keys: list[str], text: str, order: list[str], texts: int = 100) -> DataFrame:
     """``keys, script, share``: the script most letters of a group's first texts are in; ``Zyyy`` without any letter."""
     from corpusloom.functions.text import letter_count

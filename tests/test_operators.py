@@ -389,3 +389,26 @@ def test_query_subset_of_retrieval(spark):
     df = spark.createDataFrame([(i, [float(i), 1.0], [float(i), 1.0]) for i in range(5)] + [(9, None, [1.0, 1.0])], "id int, a array<double>, b array<double>").withColumn("g", F.lit(None).cast("string"))
     got = retrieval.diagonal_ranks(df, ["g"], "id", "a", "b", queries=F.col("id") == 3)
     assert rows_of(got.select("id", "rank")) == [(3, 1)]
+
+
+def test_positional_join(spark):
+    from corpusloom.operators.joins import positional_join
+
+    a = spark.createDataFrame([(1, "u", 1), (2, None, 2), (3, "w", 3)], "i int, url string, x int")
+    b = spark.createDataFrame([(1, "u", 7), (2, None, 8)], "i int, url string, y int")
+    assert rows_of(positional_join(a, b, ["i"], ["url"])) == [(1, "u", 1, 7), (2, None, 2, 8)]
+    with pytest.raises(Exception, match="url differs"):
+        positional_join(a, b.withColumn("url", F.lit("z")), ["i"], ["url"]).collect()
+    with pytest.raises(ValueError):
+        positional_join(a, b.withColumn("x", F.lit(1)), ["i"], ["url"])
+
+
+def test_code_forms(spark):
+    df = spark.createDataFrame([("en", "Latn"), ("deu", "Latn"), ("fra_Latn", None), ("xyz", None), ("?", "Latn"), (None, "Latn")], "c string, s string")
+    got = [r.n for r in df.select(readers.normalised_code(F.col("c"), F.col("s"), {"en": "eng_Latn"}).alias("n")).collect()]
+    assert got == ["eng_Latn", "deu_Latn", "fra_Latn", "xyz_Zyyy", "und_Zyyy", "und_Zyyy"]
+
+
+def test_mean_embedding(spark):
+    df = spark.createDataFrame([([3.0, 4.0], [0.0, 1.0])], "a array<double>, b array<double>")
+    assert df.select(retrieval.mean_embedding(["a", "b"]).alias("m")).first().m == pytest.approx([0.3, 0.9])
