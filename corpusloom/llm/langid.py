@@ -24,8 +24,8 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Labelled texts used for each language, and the longest text used.
-SAMPLE_PER_LANGUAGE, SAMPLE_CHARS = 3000, 2000
+#: Labelled texts used for each language, the longest text used, and the texts whose n-grams are held at once.
+SAMPLE_PER_LANGUAGE, SAMPLE_CHARS, FIT_TEXTS = 3000, 2000, 2000
 BUCKET_BITS, ORDERS = 17, (1, 2, 3, 4)
 #: Cost in nats of a change of language behind a sentence, at a weak boundary, and anywhere else.
 CHANGE_SENTENCE, CHANGE_WEAK, CHANGE_INSIDE = 4.0, 25.0, 60.0
@@ -184,20 +184,26 @@ def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", per_languag
     if not languages:
         raise ValueError("no labelled text to learn from")
     label = np.array([languages.index(lang) for lang, _ in sample])
-    words = Words([text for _, text in sample])
-    bucket, owner = grams(words.words)
-    of_text = words.text_of[owner]
+    parts = [slice(a, a + FIT_TEXTS) for a in range(0, len(sample), FIT_TEXTS)]  # n-grams of a part at a time
 
     def model(keep: np.ndarray) -> NaiveBayes:
-        used = keep[of_text]
-        flat = label[of_text[used]] * (1 << BUCKET_BITS) + bucket[used]
-        counts = np.bincount(flat, minlength=len(languages) << BUCKET_BITS).reshape(len(languages), -1)
-        return NaiveBayes(languages, counts)
+        counts = np.zeros(len(languages) << BUCKET_BITS, np.int64)
+        for part in parts:
+            words = Words([text for _, text in sample[part]])
+            bucket, owner = grams(words.words)
+            of_text = words.text_of[owner]
+            used = keep[part][of_text]
+            counts += np.bincount((label[part][of_text[used]] << BUCKET_BITS) + bucket[used], minlength=len(counts))
+        return NaiveBayes(languages, counts.reshape(len(languages), -1))
 
     first = model(np.ones(len(sample), bool))
-    totals = np.zeros((len(sample), len(languages)))
-    np.add.at(totals, words.text_of, first.word_scores(words.words))
-    return model(totals.argmax(axis=1) == label)
+    agrees = []
+    for part in parts:
+        words = Words([text for _, text in sample[part]])
+        totals = np.zeros((len(label[part]), len(languages)))
+        np.add.at(totals, words.text_of, first.word_scores(words.words))
+        agrees.append(totals.argmax(axis=1) == label[part])
+    return model(np.concatenate(agrees))
 
 
 def segments(texts: DataFrame, model: NaiveBayes, keys: list[str], text: str = "text") -> DataFrame:
