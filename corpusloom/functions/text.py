@@ -26,11 +26,17 @@ NO_PUNCTUATION_SCORE = -20.0
 
 
 @cache
-def terminal_class() -> str:
-    """A character class of terminal punctuation: Unicode STerm and a few more."""
+def terminal_marks() -> str:
+    """Terminal punctuation: Unicode STerm and a few more."""
     sterm = regex.compile(r"\p{STerm}")
-    points = sorted({i for i in range(0x20000) if not 0xD800 <= i < 0xE000 and sterm.match(chr(i))} | set(map(ord, EXTRA_TERMINALS)))
-    return "[" + "".join(rf"\x{{{p:x}}}" for p in points) + "]"
+    points = {i for i in range(0x20000) if not 0xD800 <= i < 0xE000 and sterm.match(chr(i))} | set(map(ord, EXTRA_TERMINALS))
+    return "".join(map(chr, sorted(points)))
+
+
+@cache
+def terminal_class() -> str:
+    """The marks as a character class."""
+    return "[" + "".join(rf"\x{{{ord(c):x}}}" for c in terminal_marks()) + "]"
 
 
 def strip(text: Column) -> Column:
@@ -87,10 +93,12 @@ def _no_text(a: Column, b: Column) -> Column:
 
 def terminal_punctuation_score(source: Column, target: Column) -> Column:
     """-ln(1 + |s - t| + max(s - 1, 0) + max(t - 1, 0)) of the numbers of terminal marks; -20 if a side is empty."""
-    marks = lambda t: F.length(t) - F.length(F.regexp_replace(t, terminal_class(), ""))
-    s, t = marks(source), marks(target)
-    penalty = F.abs(s - t) + F.greatest(s - 1, F.lit(0)) + F.greatest(t - 1, F.lit(0))
-    return F.when(_no_text(source, target), F.lit(NO_PUNCTUATION_SCORE)).otherwise(-F.log(penalty + F.lit(1.0)))
+    # A table lookup per character; a class of so many marks is slow to match. The counts are bound once.
+    marks = lambda t: F.length(t) - F.length(F.translate(t, terminal_marks(), ""))
+    counts = F.array(F.struct(marks(source).alias("s"), marks(target).alias("t")))
+    excess = lambda n: F.greatest(n - 1, F.lit(0))
+    score = F.transform(counts, lambda c: -F.log(F.abs(c["s"] - c["t"]) + excess(c["s"]) + excess(c["t"]) + F.lit(1.0)))[0]
+    return F.when(_no_text(source, target), F.lit(NO_PUNCTUATION_SCORE)).otherwise(score)
 
 
 def levenshtein_similarity(source: Column, target: Column) -> Column:
@@ -183,11 +191,10 @@ def letter_count(text: Column) -> Column:
 
 def script_share(text: Column, script: Column) -> Column:
     """Share of a text's letters that are of the script with that code; null without letters or for an unknown code."""
-    in_script = F.lit(None).cast("int")
-    for code, names in SCRIPTS.items():
-        # A letter that is of none of the scripts is left out.
-        inside = "".join(rf"\p{{Is{n}}}" for n in names)
-        in_script = F.when(script == code, F.length(F.regexp_replace(text, rf"[^\p{{L}}]|[^{inside}]", ""))).otherwise(in_script)
+    # One pattern a script, looked up per row: what is no letter or of another script is left out.
+    patterns = {code: r"[^\p{L}]|[^" + "".join(rf"\p{{Is{n}}}" for n in names) + "]" for code, names in SCRIPTS.items()}
+    pattern = F.create_map(*[F.lit(x) for kv in patterns.items() for x in kv])[script]
+    in_script = F.length(F.regexp_replace(text, pattern, F.lit("")))
     letters = letter_count(text)
     return F.when(letters > 0, in_script / letters)
 

@@ -72,9 +72,16 @@ def wrong_script(text: Column, lang: Column, least_letters: int, share: float) -
     return F.coalesce((letter_count(text) >= least_letters) & (script_share(text, script) < share), F.lit(False))
 
 
-def rejection_reasons(source: Column, target: Column, source_lang: Column, target_lang: Column, same: Column, sim: Column, qe: Column,
-                      lid_bad: tuple[Column, Column] = (), config: JointConfig = JointConfig()) -> Column:
-    """Bits of the reasons to reject a row, 0 for none. ``lid_bad``: per side, whether both models agree with
+def _bits(*flags: tuple[Column, int]) -> Column:
+    bits = F.lit(0)
+    for flag, bit in flags:
+        bits = bits.bitwiseOR(F.when(F.coalesce(flag, F.lit(False)), bit).otherwise(0))
+    return bits
+
+
+def text_reasons(source: Column, target: Column, source_lang: Column, target_lang: Column, same: Column, lid_bad: tuple[Column, ...] = (),
+                 config: JointConfig = JointConfig()) -> Column:
+    """Bits of the reasons that a row's texts give to reject it. ``lid_bad``: per side, whether both models agree with
     confidence on another language."""
     empty = F.coalesce(strip(source) == "", F.lit(True)) | F.coalesce(strip(target) == "", F.lit(True))
     copy = ~empty & F.coalesce(same, F.lit(False)) & (script_of(source_lang) != script_of(target_lang)) & (
@@ -83,11 +90,17 @@ def rejection_reasons(source: Column, target: Column, source_lang: Column, targe
     lid = F.lit(False)
     for bad, text, lang in zip(lid_bad, (source, target), (source_lang, target_lang)):
         lid = lid | (~empty & F.coalesce(bad, F.lit(False)) & wrong_script(text, lang, config.lid_letters, config.script_share))
-    blind = finite(sim.cast("double")).isNull() & finite(qe.cast("double")).isNull()
-    bits = F.lit(0)
-    for flag, bit in ((empty, EMPTY_TEXT), (copy, COPY_WRONG_SCRIPT), (lid, LID_WRONG_SCRIPT), (blind, MISSING_SEMANTICS)):
-        bits = bits.bitwiseOR(F.when(F.coalesce(flag, F.lit(False)), bit).otherwise(0))
-    return bits
+    return _bits((empty, EMPTY_TEXT), (copy, COPY_WRONG_SCRIPT), (lid, LID_WRONG_SCRIPT))
+
+
+def semantic_reasons(sim: Column, qe: Column) -> Column:
+    return _bits((finite(sim.cast("double")).isNull() & finite(qe.cast("double")).isNull(), MISSING_SEMANTICS))
+
+
+def rejection_reasons(source: Column, target: Column, source_lang: Column, target_lang: Column, same: Column, sim: Column, qe: Column,
+                      lid_bad: tuple[Column, ...] = (), config: JointConfig = JointConfig()) -> Column:
+    """Bits of all reasons to reject a row, 0 for none."""
+    return text_reasons(source, target, source_lang, target_lang, same, lid_bad, config).bitwiseOR(semantic_reasons(sim, qe))
 
 
 # --- calibration ------------------------------------------------------------------------------------------------------

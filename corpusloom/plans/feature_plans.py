@@ -39,7 +39,7 @@ def _lengths(spark: SparkSession, d: str, mode: str) -> DataFrame:
     s, t = F.col("source_text"), F.col("target_text")
     a = T.word_stats(s, F.col("src_lang"), mode)
     b = T.word_stats(t, None if mode == "compat" else F.col("tgt_lang"), mode)
-    rows = table(spark, d, "bitext").select(
+    rows = spread(table(spark, d, "bitext")).select(
         "pair_id", "ingested_at", F.length(s).alias("src_char_len"), F.length(t).alias("trg_char_len"), *[c.alias(f"src_{k}") for k, c in a.items()], *[c.alias(f"trg_{k}") for k, c in b.items()]
     )
     return rows.select("*", *[T.length_ratio(F.col(f"src_{k}_len"), F.col(f"trg_{k}_len"), mode).alias(f"{k}_len_ratio") for k in ("char", "word")])
@@ -89,7 +89,7 @@ def repetition_scores(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""SELECT pair_id, ingested_at, trim(regexp_replace(nfc_normalize(source_text), '[{WS}]+', ' ', 'g')) = trim(regexp_replace(nfc_normalize(target_text), '[{WS}]+', ' ', 'g')) AS same FROM bitext""")
 def copied_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "bitext").select("pair_id", "ingested_at", T.same_text("source_text", "target_text").alias("same"))
+    return spread(table(spark, d, "bitext")).select("pair_id", "ingested_at", T.same_text("source_text", "target_text").alias("same"))
 
 
 def _share_sql() -> str:

@@ -12,8 +12,8 @@ from corpusloom.operators.dedup import keep_one
 from corpusloom.operators.keys import join_groups
 from corpusloom.operators.prefix import exact_quantiles
 from corpusloom.plans.registry import query
-from corpusloom.plans.views import FEATURES, PAIRS, SCORES, features, pairs, predictions, predictions_sql, scores, truth_sql
-from corpusloom.session import table
+from corpusloom.plans.views import FEATURES, PAIRS, SCORES, features, pairs, predictions_sql, scores, truth_sql, with_predictions
+from corpusloom.session import spread, table
 from corpusloom.sources.writers import training_lines
 from corpusloom.storage import materialize
 
@@ -60,29 +60,32 @@ marked AS (SELECT *, least({_evidence_sql('src')}, {_evidence_sql('tgt')}) AS la
 
 
 def _base(spark: SparkSession, d: str) -> DataFrame:
-    """Each pair with its signals, its reasons for rejection and its language score."""
-    cols = ["pair_id", "ingested_at", "lang_pair", "corpus", "src_lang", "tgt_lang", "source_text", "target_text", "similarity_score"]
-    one = keep_one(pairs(spark, d).select(*cols).filter("lang_pair is not null"), ["pair_id"], ["ingested_at"])
-    lid = keep_one(predictions(spark, d).filter("lang_pair is not null"), ["pair_id"], ["ingested_at"]).drop("ingested_at", "lang_pair", "src_lang", "tgt_lang")
-    current = scores(spark, d)
-    trust = lambda c: F.when(truth(F.col(c)), 1.0).when(~truth(F.col(c)), 0.5).otherwise(0.75)
-    qe = current.filter("qe_model = 'cometkiwi-da-xl'").select("pair_id", F.col("qe_score").alias("qe"), F.least(trust("qe_src_seen"), trust("qe_tgt_seen")).alias("reliability"))
-    judge = current.filter("qe_model = 'llm-offline' and qe_score is not null").select("pair_id", (F.col("qe_score") / 100).alias("j"))
-    rows = one.join(lid, "pair_id").join(qe, "pair_id", "left").join(judge, "pair_id", "left").withColumn("reliability", F.coalesce("reliability", F.lit(0.75)))
+    """Each pair with its signals, its reasons for rejection and its language score.
+
+    All that needs the texts is computed where they are read; what is shuffled to find each pair's first row and to join
+    the scores are a few numbers a row."""
+    rows = with_predictions(spread(pairs(spark, d).filter("lang_pair is not null"))).withColumn("same", T.same_text("source_text", "target_text"))
     s, t = F.col("source_text"), F.col("target_text")
     evidence = [joint.language_evidence(F.col(f"{x}_lang"), [(F.col(f"{x}_id_{m}"), F.col(f"{x}_conf_{m}")) for m in ("glotlid", "conlid")]) for x in ("src", "tgt")]
     bad = [
         (F.col(f"{x}_id_glotlid") == F.col(f"{x}_id_conlid")) & (joint.language_sign(F.col(f"{x}_lang"), F.col(f"{x}_id_glotlid")) == -1) & (F.least(f"{x}_conf_glotlid", f"{x}_conf_conlid") >= C.lid_confidence)
         for x in ("src", "tgt")
     ]
-    sim = F.col("similarity_score").cast("double")
-    reasons = joint.rejection_reasons(s, t, F.col("src_lang"), F.col("tgt_lang"), F.col("same"), sim, F.col("qe"), tuple(bad))
-    rows = rows.withColumn("same", T.same_text("source_text", "target_text"))
-    return rows.select(
-        "pair_id", "lang_pair", "corpus", "src_lang", "tgt_lang", sim.alias("sim"), "qe", "reliability", "j", F.length(s).alias("src_chars"), F.length(t).alias("tgt_chars"),
-        F.least(*evidence).alias("lang_score"), reasons.alias("reasons"), T.terminal_punctuation_score(s, t).alias("punct_score"),
-        F.greatest(T.html_flag(s).cast("int"), T.html_flag(t).cast("int")).cast("double").alias("html"),
+    local = rows.select(
+        "pair_id", "ingested_at", "lang_pair", "corpus", "src_lang", "tgt_lang", F.col("similarity_score").cast("double").alias("sim"), F.length(s).alias("src_chars"), F.length(t).alias("tgt_chars"),
+        F.least(*evidence).alias("lang_score"), joint.text_reasons(s, t, F.col("src_lang"), F.col("tgt_lang"), F.col("same"), tuple(bad)).alias("text_reasons"),
+        T.terminal_punctuation_score(s, t).alias("punct_score"), F.greatest(T.html_flag(s).cast("int"), T.html_flag(t).cast("int")).cast("double").alias("html"),
     )
+    one = keep_one(local, ["pair_id"], ["ingested_at"]).drop("ingested_at")
+    current = scores(spark, d)
+    trust = lambda c: F.when(truth(F.col(c)), 1.0).when(~truth(F.col(c)), 0.5).otherwise(0.75)
+    # Both scores of a pair in one pass over the scores.
+    kiwi, judge = F.col("qe_model") == "cometkiwi-da-xl", F.col("qe_model") == "llm-offline"
+    signals = current.filter(kiwi | judge).groupBy("pair_id").agg(
+        F.max(F.when(kiwi, F.col("qe_score"))).alias("qe"), F.max(F.when(kiwi, F.least(trust("qe_src_seen"), trust("qe_tgt_seen")))).alias("reliability"), F.max(F.when(judge, F.col("qe_score") / 100)).alias("j")
+    )
+    rows = one.join(signals, "pair_id", "left").withColumn("reliability", F.coalesce("reliability", F.lit(0.75)))
+    return rows.withColumn("reasons", F.col("text_reasons").bitwiseOR(joint.semantic_reasons(F.col("sim"), F.col("qe")))).drop("text_reasons")
 
 
 @query(f"WITH {_SCORED} SELECT lang_pair, reasons, count(*) AS n FROM marked GROUP BY 1, 2")

@@ -80,8 +80,7 @@ def truth_sql(column: str) -> str:
 LID_PRIMES = {("glotlid", "src"): 7919, ("glotlid", "tgt"): 104729, ("conlid", "src"): 1299709, ("conlid", "tgt"): 15485863}
 
 
-def predictions(spark: SparkSession, d: str) -> DataFrame:
-    rows = pairs(spark, d).select("pair_id", "ingested_at", "lang_pair", "src_lang", "tgt_lang")
+def with_predictions(rows: DataFrame) -> DataFrame:
     for (model, side), k in LID_PRIMES.items():
         n = F.col("pair_id") * k
         label = F.when((n % 11 == 0) | (F.lit(model == "conlid") & (n % 13 == 0)), "deu_Latn").otherwise(F.col(f"{side}_lang"))
@@ -89,6 +88,10 @@ def predictions(spark: SparkSession, d: str) -> DataFrame:
     return rows
 
 
+def predictions(spark: SparkSession, d: str) -> DataFrame:
+    return with_predictions(pairs(spark, d).select("pair_id", "ingested_at", "lang_pair", "src_lang", "tgt_lang"))
+
+
 def predictions_sql() -> str:
     parts = []
     for (model, side), k in LID_PRIMES.items():
