@@ -129,8 +129,11 @@ def lcs_ratio(source: pa.Array, target: pa.Array) -> pa.Array:
     return pa.array([lcs_length(s, t) / min(len(s), len(t)) if s and t else 0.0 for s, t in zip(source.to_pylist(), target.to_pylist())], pa.float64())
 
 
+_DIGIT = regex.compile(r"\p{Nd}")
+
+
 def nonzero_digits(text: str) -> str:
-    return "".join(str(d) for d in (unicodedata.digit(c, 0) for c in text if unicodedata.category(c) == "Nd") if d)
+    return "".join(str(unicodedata.digit(c)) for c in _DIGIT.findall(text)).replace("0", "")
 
 
 def numeral_ratio(source: str | None, target: str | None) -> float:
