@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from corpusloom.storage import materialize
 
 BINS = 4096
+#: Up to so many groups the state of the refinement is broadcast.
+BROADCAST_GROUPS = 100_000
 
 
 def kth_value(rows: DataFrame, group: str, value: str, ranks: DataFrame, bins: int = BINS) -> DataFrame:
@@ -36,12 +38,13 @@ def kth_value(rows: DataFrame, group: str, value: str, ranks: DataFrame, bins: i
         .select("a.g", "k", "lo", "hi", F.lit(0).cast("bigint").alias("above"))
     )
     state = materialize(found, "cutoff")
+    small = state.count() <= BROADCAST_GROUPS  # it never grows
     while not state.filter("lo < hi").isEmpty():
-        state = materialize(_zoom(rows, state, bins, kind), "cutoff")
+        state = materialize(_zoom(rows, state, bins, kind, small), "cutoff")
     return state.select(F.col("g").alias(group), F.col("lo").alias("cutoff"), "above")
 
 
-def _zoom(rows: DataFrame, state: DataFrame, bins: int, kind: str) -> DataFrame:
+def _zoom(rows: DataFrame, state: DataFrame, bins: int, kind: str, small: bool) -> DataFrame:
     # k is the rank within the interval; both differences are taken so that neither overflows.
     v, lo, hi = F.col("v"), F.col("lo"), F.col("hi")
     if kind == "double":
@@ -54,12 +57,8 @@ def _zoom(rows: DataFrame, state: DataFrame, bins: int, kind: str) -> DataFrame:
     number = F.when(v == lo, 0).when(v == hi, bins - 1).otherwise(F.least(F.greatest(F.floor(ratio * bins), F.lit(0)), F.lit(bins - 1)))
     open_ = state.filter("lo < hi").select(F.col("g").alias("sg"), "lo", "hi")
     counted = (
-        rows.join(F.broadcast(open_), F.col("g").eqNullSafe(F.col("sg")))
-        if _small(open_)
-        else rows.join(open_, F.col("g").eqNullSafe(F.col("sg")))
-    )
-    counted = (
-        counted.filter(v.between(lo, hi))
+        rows.join(F.broadcast(open_) if small else open_, F.col("g").eqNullSafe(F.col("sg")))
+        .filter(v.between(lo, hi))
         .groupBy("g", number.cast("int").alias("bin"))
         .agg(F.count("*").alias("n"), F.min("v").alias("bin_lo"), F.max("v").alias("bin_hi"))
     )
@@ -79,10 +78,6 @@ def _zoom(rows: DataFrame, state: DataFrame, bins: int, kind: str) -> DataFrame:
     return moved.unionByName(state.filter("lo >= hi"))
 
 
-def _small(state: DataFrame, most: int = 100_000) -> bool:
-    return state.count() <= most
-
-
 def keep_fraction(scores: DataFrame, source: str, score: str, fractions: DataFrame, bins: int = BINS) -> tuple[DataFrame, DataFrame]:
     """The cutoff of each source that keeps a fraction of its records, and the records kept.
 
