@@ -184,12 +184,12 @@ def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", per_languag
     if not languages:
         raise ValueError("no labelled text to learn from")
     label = np.array([languages.index(lang) for lang, _ in sample])
-    parts = [slice(a, a + FIT_TEXTS) for a in range(0, len(sample), FIT_TEXTS)]  # n-grams of a part at a time
+    # Words are split once; their n-grams, many times larger, are held for a part at a time.
+    parts = [(slice(a, a + FIT_TEXTS), Words([text for _, text in sample[a : a + FIT_TEXTS]])) for a in range(0, len(sample), FIT_TEXTS)]
 
     def model(keep: np.ndarray) -> NaiveBayes:
         counts = np.zeros(len(languages) << BUCKET_BITS, np.int64)
-        for part in parts:
-            words = Words([text for _, text in sample[part]])
+        for part, words in parts:
             bucket, owner = grams(words.words)
             of_text = words.text_of[owner]
             used = keep[part][of_text]
@@ -198,8 +198,7 @@ def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", per_languag
 
     first = model(np.ones(len(sample), bool))
     agrees = []
-    for part in parts:
-        words = Words([text for _, text in sample[part]])
+    for part, words in parts:
         totals = np.zeros((len(label[part]), len(languages)))
         np.add.at(totals, words.text_of, first.word_scores(words.words))
         agrees.append(totals.argmax(axis=1) == label[part])
