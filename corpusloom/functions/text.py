@@ -12,7 +12,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, IntegerType
+from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructType
 
 #: Unicode white space.
 SPACE = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -206,3 +206,13 @@ def spaced_words(text: Column) -> tuple[Column, Column]:
     """Words without empty tokens, and their mean length."""
     count = F.regexp_count(text, F.lit(f"[^{SPACE}]+"))
     return count, F.length(F.regexp_replace(text, f"[{SPACE}]+", "")) / F.greatest(count, F.lit(1))
+
+
+@F.arrow_udf(StructType().add("n", "integer").add("mean", "double").add("max", "double"))
+def word_sizes(texts: pa.Array) -> pa.Array:
+    """Number of words without empty tokens, their mean and their largest length; null counts as empty."""
+    out = []
+    for text in texts.to_pylist():
+        sizes = [len(w) for w in (text or "").split()]
+        out.append({"n": len(sizes), "mean": sum(sizes) / max(len(sizes), 1), "max": float(max(sizes, default=0))})
+    return pa.array(out, pa.struct([("n", pa.int32()), ("mean", pa.float64()), ("max", pa.float64())]))

@@ -59,8 +59,8 @@ marked AS (SELECT *, least({_evidence_sql('src')}, {_evidence_sql('tgt')}) AS la
   | CASE WHEN sim IS NULL AND qe IS NULL THEN 8 ELSE 0 END AS reasons FROM base)"""
 
 
-def _base(spark: SparkSession, d: str) -> DataFrame:
-    """Each pair with its signals, its reasons for rejection and its language score.
+def _base(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
+    """Each pair with its signals, its reasons for rejection and its language score; ``whole``: and those of the texts.
 
     All that needs the texts is computed where they are read; what is shuffled to find each pair's first row and to join
     the scores are a few numbers a row."""
@@ -75,6 +75,7 @@ def _base(spark: SparkSession, d: str) -> DataFrame:
         "pair_id", "ingested_at", "lang_pair", "corpus", "src_lang", "tgt_lang", F.col("similarity_score").cast("double").alias("sim"), F.length(s).alias("src_chars"), F.length(t).alias("tgt_chars"),
         F.least(*evidence).alias("lang_score"), joint.text_reasons(s, t, F.col("src_lang"), F.col("tgt_lang"), F.col("same"), tuple(bad)).alias("text_reasons"),
         T.terminal_punctuation_score(s, t).alias("punct_score"), F.greatest(T.html_flag(s).cast("int"), T.html_flag(t).cast("int")).cast("double").alias("html"),
+        *([c.alias(n) for n, c in joint.text_signals(s, t, F.col("src_lang"), F.col("tgt_lang"), F.col("same")).items()] if whole else []),
     )
     one = keep_one(local, ["pair_id"], ["ingested_at"]).drop("ingested_at")
     current = scores(spark, d)
@@ -110,23 +111,41 @@ joint AS (SELECT pair_id, lang_pair, corpus, src_lang, tgt_lang, src_chars, tgt_
   exp(CASE WHEN jj IS NULL THEN base ELSE 0.8 * base + 0.2 * ln(least(greatest({_LIFT('jj')}, 0.05), 1)) END) * CASE WHEN weak >= 2 THEN 0.5 ELSE 1 END AS joint_score FROM logged)"""
 
 
-def _joint(spark: SparkSession, d: str) -> DataFrame:
-    """Joint scores of the rows that aren't rejected. Distributions are calibrated on all rows of a language pair."""
-    rows = _base(spark, d).filter("reasons = 0")
+#: What of the texts is calibrated by mid-ranks, besides lengths and punctuation.
+_TEXT_RANKS = {"word_away": "r_words", "repeats": "r_repeat", **{f"{x}_{k}_word": f"r_{x}_{k}" for x in ("src", "tgt") for k in ("mean", "max")}}
+
+
+def _joint(spark: SparkSession, d: str, whole: bool = True) -> DataFrame:
+    """Joint scores of the rows that aren't rejected. Distributions are calibrated on all rows of a language pair.
+
+    Not ``whole``: without copies, repetitions, numbers and words, as the SQL has it."""
+    rows = _base(spark, d, whole).filter("reasons = 0")
     rows = rows.withColumn("logratio", F.ln(F.greatest("src_chars", F.lit(1)) / F.greatest("tgt_chars", F.lit(1)).cast("double")))
     rows = materialize(rows.withColumn("punct9", F.round(-F.col("punct_score") / F.log1p(F.greatest(F.least("src_chars", "tgt_chars"), F.lit(1)).cast("double")), 9)), "joint")
-    centre = exact_quantiles(rows, ["lang_pair"], "logratio", {"centre": 0.5})
-    rows = join_groups(rows, centre, ["lang_pair"], "left").withColumn("away", F.round(F.abs(F.col("logratio") - F.col("centre")), 9))
-    rows = joint.mid_ranks_of(rows, "pair_id", ["lang_pair"], {"sim": "p", "qe": "q", "j": "jj", "away": "r_len", "punct9": "r_punct"})
+    for value, away in [("logratio", "away"), *([("word_logratio", "word_away")] if whole else [])]:
+        centre = exact_quantiles(rows, ["lang_pair"], value, {"centre": 0.5})
+        rows = join_groups(rows, centre, ["lang_pair"], "left").withColumn(away, F.round(F.abs(F.col(value) - F.col("centre")), 9)).drop("centre")
+    rows = joint.mid_ranks_of(rows, "pair_id", ["lang_pair"], {"sim": "p", "qe": "q", "j": "jj", "away": "r_len", "punct9": "r_punct"} | (_TEXT_RANKS if whole else {}))
     zero = F.lit(0.0)
-    structure = F.greatest(joint.tail_risk(F.col("r_punct")), F.col("html"))
-    h = joint.form_score(joint.tail_risk(F.col("r_len")), zero, zero, zero, structure)
-    score = joint.joint_score(F.col("p"), F.col("q"), h, F.col("lang_score"), F.col("reliability"), F.lit(None).cast("double"), F.col("jj"), zero)
+    risk = lambda c: joint.tail_risk(F.col(c))
+    length, structure = [risk("r_len")], [risk("r_punct"), F.col("html")]
+    copy = repeat = numbers = zero
+    if whole:
+        length, copy, repeat, numbers = [*length, risk("r_words")], F.col("copy"), risk("r_repeat"), F.col("numbers")
+        structure += [risk(r) for c, r in _TEXT_RANKS.items() if c.endswith("_word")]
+    h = joint.form_score(F.greatest(*length) if whole else length[0], copy, repeat, numbers, F.greatest(*structure))
+    score = joint.joint_score(F.col("p"), F.col("q"), h, F.col("lang_score"), F.col("reliability"), F.lit(None).cast("double"), F.col("jj"), copy)
     return rows.select("pair_id", "lang_pair", "corpus", "src_lang", "tgt_lang", "src_chars", "tgt_chars", F.col("jj").isNotNull().cast("int").alias("llm_present"), score.alias("joint_score"))
 
 
 @query(f"WITH {_JOINT} SELECT * FROM joint")
 def joint_scores(spark: SparkSession, d: str) -> DataFrame:
+    return _joint(spark, d, whole=False)
+
+
+@query()
+def whole_joint_scores(spark: SparkSession, d: str) -> DataFrame:
+    """With copies, repetitions, numbers and words, for which DuckDB has no expression."""
     return _joint(spark, d)
 
 
@@ -134,13 +153,18 @@ _BIN = f"least(floor(least(greatest(round(joint_score, 9), 0), 1) * {BINS}), {BI
 _HIST = f"{_JOINT}, hist AS (SELECT lang_pair, llm_present, {_BIN} AS bin, count(*) AS rows, CAST(sum(src_chars + tgt_chars) AS BIGINT) AS tokens FROM joint GROUP BY 1, 2, 3)"
 
 
-def _rounded(spark: SparkSession, d: str) -> DataFrame:
-    rows = _joint(spark, d).withColumn("joint_score", F.round("joint_score", 9)).withColumn("size", (F.col("src_chars") + F.col("tgt_chars")).cast("bigint"))
+def _rounded(spark: SparkSession, d: str, whole: bool = True) -> DataFrame:
+    rows = _joint(spark, d, whole).withColumn("joint_score", F.round("joint_score", 9)).withColumn("size", (F.col("src_chars") + F.col("tgt_chars")).cast("bigint"))
     return materialize(rows, "scored")
 
 
 @query(f"WITH {_HIST} SELECT * FROM hist")
 def joint_histogram(spark: SparkSession, d: str) -> DataFrame:
+    return joint.score_histogram(_rounded(spark, d, whole=False), ["lang_pair", "llm_present"], "joint_score", "size", BINS)
+
+
+@query()
+def whole_joint_histogram(spark: SparkSession, d: str) -> DataFrame:
     return joint.score_histogram(_rounded(spark, d), ["lang_pair", "llm_present"], "joint_score", "size", BINS)
 
 
@@ -157,7 +181,7 @@ def _budgets(hist: DataFrame) -> DataFrame:
 
 @query(f"WITH {_BUDGET} SELECT * FROM budgets")
 def token_budgets(spark: SparkSession, d: str) -> DataFrame:
-    hist = materialize(joint.score_histogram(_rounded(spark, d), ["lang_pair", "llm_present"], "joint_score", "size", BINS), "hist")
+    hist = materialize(joint.score_histogram(_rounded(spark, d, whole=False), ["lang_pair", "llm_present"], "joint_score", "size", BINS), "hist")
     return _budgets(hist)
 
 
@@ -178,12 +202,25 @@ def _boundaries(rows: DataFrame) -> DataFrame:
 
 @query(f"WITH {_BOUNDARY} SELECT * FROM boundaries")
 def budget_boundaries(spark: SparkSession, d: str) -> DataFrame:
+    return _boundaries(_rounded(spark, d, whole=False))
+
+
+@query()
+def whole_budget_boundaries(spark: SparkSession, d: str) -> DataFrame:
     return _boundaries(_rounded(spark, d))
 
 
 @query(f"""WITH {_BOUNDARY} SELECT j.lang_pair, count(*) FILTER ({_BIN} > boundary_bin) AS n_above, count(*) FILTER ({_BIN} = boundary_bin) AS n_at FROM joint j JOIN boundaries b ON b.lang_pair = j.lang_pair AND b.llm_present = j.llm_present GROUP BY 1""")
 def boundary_counts(spark: SparkSession, d: str) -> DataFrame:
-    rows = _rounded(spark, d)
+    return _boundary_counts(_rounded(spark, d, whole=False))
+
+
+@query()
+def whole_boundary_counts(spark: SparkSession, d: str) -> DataFrame:
+    return _boundary_counts(_rounded(spark, d))
+
+
+def _boundary_counts(rows: DataFrame) -> DataFrame:
     code = score_bin(F.col("joint_score"), BINS)
     joined = rows.join(_boundaries(rows), ["lang_pair", "llm_present"])
     return joined.groupBy("lang_pair").agg(F.count_if(code > F.col("boundary_bin")).alias("n_above"), F.count_if(code == F.col("boundary_bin")).alias("n_at"))
@@ -214,7 +251,7 @@ def selection_rollups(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {_JOINT}, langs AS (SELECT DISTINCT pair_id, unnest([src_lang, tgt_lang]) AS language, src_chars + tgt_chars AS size FROM joint)
 SELECT language, count(*) AS n_rows, CAST(sum(size) AS BIGINT) AS chars FROM langs GROUP BY 1""")
 def language_rollup(spark: SparkSession, d: str) -> DataFrame:
-    return joint.language_rollup(_joint(spark, d), "src_lang", "tgt_lang", {"n_rows": F.count("*"), "chars": F.sum((F.col("src_chars") + F.col("tgt_chars")).cast("bigint"))})
+    return joint.language_rollup(_joint(spark, d, whole=False), "src_lang", "tgt_lang", {"n_rows": F.count("*"), "chars": F.sum((F.col("src_chars") + F.col("tgt_chars")).cast("bigint"))})
 
 
 @query()
