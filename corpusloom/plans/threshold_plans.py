@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators import lid, stats
 from corpusloom.operators import thresholds as th
 from corpusloom.plans.registry import query
-from corpusloom.plans.views import FEATURES, LID_PRIMES, PAIRS, features, features_sql, pairs, predictions, predictions_sql, scores, SCORES
+from corpusloom.plans.views import FEATURES, LID_PRIMES, PAIRS, features, features_sql, pairs, predictions, predictions_sql, scores, SCORES, WHOLE_FEATURES, whole_features
 from corpusloom.session import table
 from corpusloom.storage import materialize
 
@@ -94,12 +94,74 @@ def worst_pairs(spark: SparkSession, d: str) -> DataFrame:
 SELECT count(*) AS n_pairs, CAST(sum(n) AS BIGINT) AS rows_before, CAST(sum(m) AS BIGINT) AS rows_after, sum(m) / sum(n)::DOUBLE AS kept_fraction, min(m / n::DOUBLE) AS min_kept, median(m / n::DOUBLE) AS median_kept, max(m / n::DOUBLE) AS max_kept FROM r""")
 def retention_totals(spark: SparkSession, d: str) -> DataFrame:
     """One row over one row per language pair."""
-    return th.retention(*_stage1(spark, d), ["lang_pair"]).agg(
+    return _totals(th.retention(*_stage1(spark, d), ["lang_pair"]))
+
+
+def _totals(kept: DataFrame) -> DataFrame:
+    return kept.agg(
         F.count("*").alias("n_pairs"), F.sum("rows_before").alias("rows_before"), F.sum("rows_after").alias("rows_after"), (F.sum("rows_after") / F.sum("rows_before")).alias("kept_fraction"),
         F.min("kept_fraction").alias("min_kept"), F.median("kept_fraction").alias("median_kept"), F.max("kept_fraction").alias("max_kept"),
     )
 
 
+# --- all features -----------------------------------------------------------------------------------------------------
+def _whole_eda(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    rows = materialize(whole_features(spark, d), "features")
+    return rows, stats.describe(rows, ["lang_pair"], WHOLE_FEATURES)
+
+
+def _whole_stage1(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    rows, summary = _whole_eda(spark, d)
+    bounds = th.eda_bounds(summary, ["lang_pair"])
+    return rows, th.within_bounds(rows, bounds, ["lang_pair"], WHOLE_FEATURES, ["filter_html_src", "filter_html_trg"])
+
+
+@query()
+def whole_pair_features(spark: SparkSession, d: str) -> DataFrame:
+    return whole_features(spark, d).select("pair_id", "ingested_at", *WHOLE_FEATURES, "filter_html_src", "filter_html_trg")
+
+
+@query()
+def whole_eda_describe(spark: SparkSession, d: str) -> DataFrame:
+    return _whole_eda(spark, d)[1]
+
+
+@query()
+def whole_eda_pooled(spark: SparkSession, d: str) -> DataFrame:
+    return stats.pooled(_whole_eda(spark, d)[1])
+
+
+@query()
+def whole_eda_bounds(spark: SparkSession, d: str) -> DataFrame:
+    return th.eda_bounds(_whole_eda(spark, d)[1], ["lang_pair"])
+
+
+@query()
+def whole_feature_spearman(spark: SparkSession, d: str) -> DataFrame:
+    out = stats.spearman(materialize(whole_features(spark, d), "features"), ["lang_pair"], WHOLE_FEATURES)
+    return out.withColumn("correlation", F.nanvl("correlation", F.lit(None).cast("double")))
+
+
+@query()
+def whole_stage1_filter(spark: SparkSession, d: str) -> DataFrame:
+    return _whole_stage1(spark, d)[1].select("pair_id", "ingested_at", "lang_pair", *WHOLE_FEATURES)
+
+
+@query()
+def whole_retention_by_pair(spark: SparkSession, d: str) -> DataFrame:
+    return th.retention(*_whole_stage1(spark, d), ["lang_pair"])
+
+
+@query()
+def whole_worst_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return whole_retention_by_pair(spark, d).orderBy("kept_fraction", "lang_pair").limit(5)
+
+
+@query()
+def whole_retention_totals(spark: SparkSession, d: str) -> DataFrame:
+    return _totals(whole_retention_by_pair(spark, d))
+
+
 # --- score thresholds -------------------------------------------------------------------------------------------------
 _Q = ", ".join(f"quantile_cont(similarity_score::DOUBLE, {p}) AS {n}" for n, p in stats.SCORE_QUANTILES.items())
 _SIM = f"""{PAIRS}, sims AS (SELECT lang_pair, count(*) AS n_rows, count(similarity_score) AS n_scored, avg(similarity_score::DOUBLE) AS mean, stddev_pop(similarity_score::DOUBLE) AS std,

@@ -21,6 +21,19 @@ def pairs(spark: SparkSession, d: str) -> DataFrame:
 
 FEATURES = ["src_char_len", "trg_char_len", "char_len_ratio", "src_word_len", "trg_word_len", "word_len_ratio", "score_term_punct"]
 
+#: All that rows are filtered by; DuckDB has no expression for most of what FEATURES lacks.
+WHOLE_FEATURES = [
+    *FEATURES, "score_numerals", "score_lcs_ratio", "score_levenshtein", "score_repeat_src", "score_repeat_trg", "src_max_word_len", "trg_max_word_len", "src_avg_word_len", "trg_avg_word_len",
+]
+
+
+def whole_features(spark: SparkSession, d: str) -> DataFrame:
+    """``features`` with those of ``WHOLE_FEATURES`` that it lacks, and without the texts."""
+    s, t = F.col("source_text"), F.col("target_text")
+    words = {f"{x}_{k}_word_len": T.word_stats(text, F.split_part("lang_pair", F.lit("-"), F.lit(i)), "fixed")[f"{k}_word_len"] for k in ("max", "avg") for i, (x, text) in enumerate((("src", s), ("trg", t)), 1)}
+    more = {"score_numerals": T.numeral_score(s, t), "score_lcs_ratio": T.lcs_ratio(s, t), "score_levenshtein": T.levenshtein_similarity(s, t), "score_repeat_src": T.repetition_score(s), "score_repeat_trg": T.repetition_score(t)}
+    return features(spark, d).select("*", *[c.alias(n) for n, c in (more | words).items()]).drop("source_text", "target_text")
+
 
 def features(spark: SparkSession, d: str) -> DataFrame:
     """Pairs with both texts and their features; the expensive part is redistributed if the scan is small."""

@@ -8,7 +8,9 @@ import regex
 
 from corpusloom.functions import text as T
 from corpusloom.operators import joint
+from corpusloom.operators.thresholds import LOWER_ONLY, SAFEGUARDS, UPPER_ONLY
 from corpusloom.plans import joint_plans, registry
+from corpusloom.plans.views import WHOLE_FEATURES
 
 QUERIES = registry.load()
 LETTER = regex.compile(r"\p{L}")
@@ -92,3 +94,30 @@ def test_text_signals(spark):
     assert [round(got[i]["copy"], 9) for i in (1, 2, 5)] == [1.0, 0.0, 1.0] and got[3]["numbers"] > 0 and got[1]["numbers"] == 0
     assert got[4]["repeats"] > 0 and got[1]["repeats"] == 0
     assert got[1]["src_max_word"] == 9 and got[1]["tgt_max_word"] is None and got[1]["word_logratio"] is None
+
+
+def test_whole_stage1(spark, sf):
+    rows = QUERIES["whole_pair_features"](spark, sf).toPandas()
+    texts = pd.read_parquet(f"{sf}/bitext.parquet").dropna(subset=["source_text", "target_text", "src_lang", "tgt_lang"])
+    texts["lang_pair"] = texts["src_lang"] + "-" + texts["tgt_lang"]
+    rows["ingested_at"] = rows["ingested_at"].dt.tz_localize("UTC").astype(texts["ingested_at"].dtype)
+    rows = rows.merge(texts[["pair_id", "ingested_at", "lang_pair", "source_text", "target_text"]], on=["pair_id", "ingested_at"])
+    some = rows.iloc[:150]
+    for r in some.itertuples():
+        s, t = r.source_text, r.target_text
+        longer = max(len(s), len(t))
+        assert np.isclose(r.score_levenshtein, 1 - levenshtein(s, t) / longer if longer else 1.0)
+        assert np.isclose(r.score_lcs_ratio, T.lcs_length(s, t) / min(len(s), len(t)) if s and t else 0.0)
+        assert np.isclose(r.score_numerals, T.numeral_ratio(s, t)) and (r.score_repeat_src, r.score_repeat_trg) == (T.repetition(s), T.repetition(t))
+    keep = ~rows["filter_html_src"] & ~rows["filter_html_trg"]
+    for f in WHOLE_FEATURES:
+        by = rows.groupby("lang_pair")[f]
+        mean, std = by.transform("mean"), by.transform("std").fillna(0)
+        low, high = SAFEGUARDS[f]
+        if f not in UPPER_ONLY:
+            keep &= rows[f] >= np.minimum(np.minimum(by.transform("quantile", 0.001), mean - 4 * std), low or 0.0) - 1e-9
+        if f not in LOWER_ONLY and high is not None:
+            keep &= rows[f] <= np.maximum(np.maximum(by.transform("quantile", 0.999), mean + 4 * std), high) + 1e-9
+    got = QUERIES["whole_stage1_filter"](spark, sf).select("pair_id", "ingested_at").toPandas()
+    assert sorted(got["pair_id"]) == sorted(rows.loc[keep, "pair_id"])
+    assert len(WHOLE_FEATURES) == len(SAFEGUARDS) == 16
