@@ -12,7 +12,7 @@ from corpusloom.operators.dedup import keep_one
 from corpusloom.operators.keys import join_groups
 from corpusloom.operators.prefix import exact_quantiles
 from corpusloom.plans.registry import query
-from corpusloom.plans.views import FEATURES, PAIRS, SCORES, features, pairs, predictions_sql, scores, truth_sql, with_predictions
+from corpusloom.plans.views import PAIRS, SCORES, WHOLE_FEATURES, pairs, predictions_sql, scores, truth_sql, whole_features, with_predictions
 from corpusloom.session import spread, table
 from corpusloom.sources.writers import training_lines
 from corpusloom.storage import materialize
@@ -262,10 +262,10 @@ def fitted_cdfs(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def outlier_filter(spark: SparkSession, d: str) -> DataFrame:
-    """Isolation-forest inliers over the pair features."""
-    rows = materialize(features(spark, d).drop("source_text", "target_text"), "features")
-    forest = outlier.fit(rows, FEATURES, ["pair_id", "ingested_at"])
-    return outlier.score_rows(rows, FEATURES, forest).filter("not is_outlier").select("pair_id", "lang_pair", "anomaly")
+    """Inliers of each language pair's own isolation forest over all features."""
+    rows = materialize(whole_features(spark, d), "features")
+    scored = outlier.score_by_group(rows, "lang_pair", WHOLE_FEATURES, ["pair_id", "ingested_at"])
+    return scored.filter("not is_outlier").select("pair_id", "lang_pair", "anomaly")
 
 
 # --- samples and plans ------------------------------------------------------------------------------------------------

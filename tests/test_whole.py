@@ -7,7 +7,7 @@ import pandas as pd
 import regex
 
 from corpusloom.functions import text as T
-from corpusloom.operators import joint
+from corpusloom.operators import joint, outlier
 from corpusloom.operators.thresholds import LOWER_ONLY, SAFEGUARDS, UPPER_ONLY
 from corpusloom.plans import joint_plans, registry
 from corpusloom.plans.views import WHOLE_FEATURES
@@ -121,3 +121,18 @@ def test_whole_stage1(spark, sf):
     got = QUERIES["whole_stage1_filter"](spark, sf).select("pair_id", "ingested_at").toPandas()
     assert sorted(got["pair_id"]) == sorted(rows.loc[keep, "pair_id"])
     assert len(WHOLE_FEATURES) == len(SAFEGUARDS) == 16
+
+
+def test_forest_by_group(spark, monkeypatch):
+    monkeypatch.setattr(outlier, "PART_ROWS", 400)
+    rng = np.random.default_rng(1)
+    rows = [(g, i, float(c + rng.normal()), None if i % 50 == 1 else float(rng.normal())) for g, n, c in (("large", 2000, 0), ("small", 200, 500)) for i in range(n)]
+    rows += [("small", 200, 0.0, 0.0)]  # usual in the large group, not in its own
+    df = spark.createDataFrame(rows, "g string, id int, a double, b double")
+    got = outlier.score_by_group(df, "g", ["a", "b"], ["id"], contamination=0.01).toPandas()
+    assert len(got) == len(rows) and not got.duplicated(["g", "id"]).any()
+    for g, part in got.groupby("g"):
+        assert (part["is_outlier"] == (part["anomaly"] > np.quantile(part["anomaly"], 0.99))).all()
+    assert got.loc[(got["g"] == "small") & (got["id"] == 200), "is_outlier"].item()
+    again = outlier.score_by_group(df.repartition(5), "g", ["a", "b"], ["id"], contamination=0.01).toPandas()
+    assert got.sort_values(["g", "id"])["anomaly"].tolist() == again.sort_values(["g", "id"])["anomaly"].tolist()
