@@ -5,12 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import NO_SPACE_SCRIPTS, lcs_ratio, letter_count, numeral_score, repetition_score, script_share, strip, word_sizes
-from corpusloom.functions.values import clip, finite, score_bin, stable_uniform
+from corpusloom.functions.values import clip, finite, score_bin
 from corpusloom.operators.keys import join_groups
 from corpusloom.operators.prefix import running_sum
 from corpusloom.storage import materialize
@@ -157,19 +156,30 @@ def cdf_knots(values: np.ndarray, knots: int = 257) -> tuple[list[float], list[f
     return x.tolist(), ((np.searchsorted(v, x, "left") + np.searchsorted(v, x, "right")) / (2 * len(v))).tolist()
 
 
-def fit_cdfs(rows: DataFrame, group: list[str], value: str, ids: list[str], per_group: int = 50_000) -> DataFrame:
-    """``group, x, p, n``: knots of each group's distribution function, from about ``per_group`` of its rows drawn by
-    hash of ``ids``, so that no task holds a whole group."""
-    sizes = rows.groupBy(*group).agg((per_group / F.count("*")).alias("_rate"))
-    sample = join_groups(rows, sizes, group).filter(stable_uniform(1, *[F.col(i) for i in ids]) < F.col("_rate"))
-    sample = sample.select(*group, F.col(value).cast("double").alias("v"))
-
-    def fit(frame: pd.DataFrame) -> pd.DataFrame:
-        x, p = cdf_knots(frame["v"].to_numpy(float))
-        return pd.DataFrame([[*frame.iloc[0][group], x, p, int(np.isfinite(frame["v"]).sum())]], columns=[*group, "x", "p", "n"])
-
-    kinds = ", ".join(f"{g} {rows.schema[g].dataType.simpleString()}" for g in group)
-    return sample.groupBy(*group).applyInPandas(fit, f"{kinds}, x array<double>, p array<double>, n bigint")
+def fit_cdfs(rows: DataFrame, group: list[str], value: str, knots: int = 257) -> DataFrame:
+    """``group, x, p, n``: ``cdf_knots`` of all finite values of each group, from counts of distinct values and their
+    running sums, so that no task holds a whole group. Null groups are groups of their own."""
+    finite_rows = rows.select(*group, finite(F.col(value).cast("double")).alias("_v"))
+    counted = materialize(finite_rows.filter("_v is not null").groupBy(*group, "_v").agg(F.count("*").alias("_n")), "counted")
+    sizes = finite_rows.groupBy(*group).agg(F.count("_v").alias("n"))
+    ranked = join_groups(running_sum(counted, group, [F.col("_v")], F.col("_n"), "_to"), sizes, group)
+    # The quantile k lies between the places floor(at) and ceil(at), counted from 0; a value holds the places [_to - _n, _to).
+    steps, last = F.lit(knots - 1), F.col("n") - 1
+    at = F.col("_k") * last / steps
+    first = F.when(last > 0, F.greatest(F.floor((F.col("_to") - F.col("_n") - 1) * steps / last), F.lit(0))).otherwise(0)
+    final = F.when(last > 0, F.least(F.ceil(F.col("_to") * steps / last), steps)).otherwise(steps)
+    held = lambda place: (place < F.col("_to")) & (place >= F.col("_to") - F.col("_n"))
+    near = ranked.withColumn("_k", F.explode(F.sequence(first.cast("int"), final.cast("int")))).withColumn("_at", at)
+    entry = F.struct("_v", "_n", "_to")
+    ends = near.groupBy(*group, "_k").agg(*[F.max(F.when(held(place), entry)).alias(e) for e, place in (("_a", F.floor("_at")), ("_b", F.ceil("_at")))], F.max(F.col("_at") - F.floor("_at")).alias("_f"), F.max("n").alias("n"))
+    a, b, f = F.col("_a._v"), F.col("_b._v"), F.col("_f")
+    x = F.when(f < 0.5, a + (b - a) * f).otherwise(b - (b - a) * (1 - f))
+    mid = lambda e: (2 * F.col(f"{e}._to") - F.col(f"{e}._n"))
+    points = ends.withColumn("_x", x).withColumn("_p", F.when(F.col("_x") == a, mid("_a")).when(F.col("_x") == b, mid("_b")).otherwise(2 * F.col("_a._to")) / (2 * F.col("n")))
+    found = points.groupBy(*group).agg(F.array_sort(F.collect_set(F.struct("_x", "_p"))).alias("_points"))
+    out = join_groups(sizes, found, group, "left")
+    none = F.array().cast("array<double>")
+    return out.select(*group, F.coalesce("_points._x", none).alias("x"), F.coalesce("_points._p", none).alias("p"), "n")
 
 
 def cdf_at(value: Column, x: Column, p: Column) -> Column:

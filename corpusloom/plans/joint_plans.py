@@ -256,8 +256,8 @@ def language_rollup(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def fitted_cdfs(spark: SparkSession, d: str) -> DataFrame:
-    """Knots of the similarity's distribution per language pair, from bounded samples."""
-    return joint.fit_cdfs(pairs(spark, d).filter("similarity_score is not null and lang_pair is not null"), ["lang_pair"], "similarity_score", ["pair_id", "ingested_at"])
+    """Knots of the similarity's distribution per language pair, from all its rows."""
+    return joint.fit_cdfs(pairs(spark, d).filter("similarity_score is not null and lang_pair is not null"), ["lang_pair"], "similarity_score")
 
 
 @query()

@@ -136,3 +136,16 @@ def test_forest_by_group(spark, monkeypatch):
     assert got.loc[(got["g"] == "small") & (got["id"] == 200), "is_outlier"].item()
     again = outlier.score_by_group(df.repartition(5), "g", ["a", "b"], ["id"], contamination=0.01).toPandas()
     assert got.sort_values(["g", "id"])["anomaly"].tolist() == again.sort_values(["g", "id"])["anomaly"].tolist()
+
+
+def test_fitted_cdfs_cover_all_rows(spark):
+    # 60,000 rows, of which a sample of about 50,000 isn't enough.
+    rng = np.random.default_rng(2)
+    groups = {"wide": rng.normal(size=60_000), "ties": rng.integers(0, 9, 5000).astype(float), "few": np.array([1.0, 2.0, 2.0, 5.0]), "one": np.array([3.0]), "none": np.array([np.nan])}
+    df = spark.createDataFrame(pd.DataFrame([(g, v) for g, values in groups.items() for v in values], columns=["g", "v"]))
+    got = {r.g: r for r in joint.fit_cdfs(df, ["g"], "v").collect()}
+    assert set(got) == set(groups) and got["wide"].n == 60_000 and got["none"].n == 0
+    for g, values in groups.items():
+        x, p = joint.cdf_knots(values)
+        np.testing.assert_allclose(got[g].x, x, rtol=1e-12)
+        np.testing.assert_allclose(got[g].p, p, rtol=1e-12)
