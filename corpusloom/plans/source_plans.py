@@ -10,7 +10,7 @@ from corpusloom.operators.stats import score_summary
 from corpusloom.operators.tracking import complete_groups
 from corpusloom.plans.registry import query
 from corpusloom.plans.views import PAIRS, SCORES, pairs, predictions, predictions_sql, scores
-from corpusloom.session import table
+from corpusloom.session import spread, table
 from corpusloom.sources.readers import majority_script, normalised_code
 
 _NAMES = {"Arab": "Arabic", "Cyrl": "Cyrillic", "Deva": "Devanagari", "Grek": "Greek", "Hang": "Hangul", "Hani": "Han", "Hebr": "Hebrew", "Latn": "Latin", "Thai": "Thai"}
@@ -19,19 +19,34 @@ sums AS (SELECT lang, {", ".join(f"sum(length(coalesce(text, '')) - length(regex
 scripts AS (SELECT lang, CASE WHEN greatest({", ".join(_NAMES)}) = 0 THEN 'Zyyy' {" ".join(f"WHEN {c} = greatest({', '.join(_NAMES)}) THEN '{c}'" for c in _NAMES)} END AS script, greatest({", ".join(_NAMES)}) / nullif(letters, 0)::DOUBLE AS share FROM sums)"""
 
 
-def _scripts(spark: SparkSession, d: str) -> DataFrame:
-    return majority_script(table(spark, d, "documents").select("lang", "text", "doc_id"), ["lang"], "text", ["doc_id"])
+def _scripts(spark: SparkSession, d: str, texts: int | None = None) -> DataFrame:
+    return majority_script(spread(table(spark, d, "documents").select("lang", "text", "doc_id")), ["lang"], "text", ["doc_id"], texts)
+
+
+def _codes(scripts: DataFrame) -> DataFrame:
+    return scripts.select("lang", normalised_code(F.col("lang"), F.col("script"), {"en": "eng_Latn"}).alias("code"))
 
 
 @query(f"WITH {_SCRIPTS} SELECT * FROM scripts")
 def script_detection(spark: SparkSession, d: str) -> DataFrame:
     """Script of the first 100 texts of each label."""
+    return _scripts(spark, d, 100)
+
+
+@query()
+def whole_script_detection(spark: SparkSession, d: str) -> DataFrame:
+    """Script of all texts of each label."""
     return _scripts(spark, d)
 
 
 @query(f"""WITH {_SCRIPTS} SELECT lang, CASE WHEN lang = 'en' THEN 'eng_Latn' WHEN regexp_matches(lang, '^[a-z]{{3}}_[A-Z][a-z]{{3}}$') THEN lang WHEN regexp_matches(lang, '^[a-z]{{3}}$') THEN lang || '_' || script ELSE 'und_Zyyy' END AS code FROM scripts""")
 def normalised_codes(spark: SparkSession, d: str) -> DataFrame:
-    return _scripts(spark, d).select("lang", normalised_code(F.col("lang"), F.col("script"), {"en": "eng_Latn"}).alias("code"))
+    return _codes(_scripts(spark, d, 100))
+
+
+@query()
+def whole_normalised_codes(spark: SparkSession, d: str) -> DataFrame:
+    return _codes(_scripts(spark, d))
 
 
 @query(f"WITH {predictions_sql()} SELECT pair_id, ingested_at, lang_pair, src_id_glotlid, src_id_conlid FROM preds")

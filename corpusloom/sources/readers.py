@@ -83,15 +83,18 @@ def normalised_code(code: Column, script: Column, fixes: dict[str, str] | None =
     return F.coalesce(fixed, F.when(code.rlike("^[a-z]{3}_[A-Z][a-z]{3}$"), code), bare, F.lit("und_Zyyy"))
 
 
-def majority_script(rows: DataFrame, keys: list[str], text: str, order: list[str], texts: int = 100) -> DataFrame:
-    """``keys, script, share``: the script most letters of a group's first texts are in; ``Zyyy`` without any letter."""
+def majority_script(rows: DataFrame, keys: list[str], text: str, order: list[str], texts: int | None = None) -> DataFrame:
+    """``keys, script, share``: the script most letters of a group's texts are in; ``Zyyy`` without any letter.
+
+    Letters are summed on the map side. ``texts``: only so many of each group, the first in ``order``."""
     from corpusloom.functions.text import letter_count
 
     names = {"Latn": "Latin", "Cyrl": "Cyrillic", "Grek": "Greek", "Arab": "Arabic", "Hani": "Han", "Thai": "Thai", "Deva": "Devanagari", "Hebr": "Hebrew", "Hang": "Hangul"}
-    first = rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("_n") <= texts)
+    if texts is not None:
+        rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("_n") <= texts)
     t = F.coalesce(F.col(text), F.lit(""))
     counts = [F.sum(F.length(t) - F.length(F.regexp_replace(t, rf"\p{{Is{n}}}", ""))).alias(c) for c, n in names.items()]
-    sums = first.groupBy(*keys).agg(F.sum(letter_count(t)).alias("_letters"), *counts)
+    sums = rows.groupBy(*keys).agg(F.sum(letter_count(t)).alias("_letters"), *counts)
     # On a tie the first in alphabetical order counts.
     top = F.array_max(F.array(*[F.struct(F.col(c).alias("n"), F.lit(-i).alias("i"), F.lit(c).alias("c")) for i, c in enumerate(sorted(names))]))
     return sums.select(*keys, F.when(top["n"] > 0, top["c"]).otherwise("Zyyy").alias("script"), F.when(F.col("_letters") > 0, top["n"] / F.col("_letters")).alias("share"))

@@ -149,3 +149,12 @@ def test_fitted_cdfs_cover_all_rows(spark):
         x, p = joint.cdf_knots(values)
         np.testing.assert_allclose(got[g].x, x, rtol=1e-12)
         np.testing.assert_allclose(got[g].p, p, rtol=1e-12)
+
+
+def test_script_of_all_texts(spark, tmp_path):
+    # The first hundred texts of a label are in another script than the rest, or empty.
+    rows = [(i, "abc", "\u0442\u0435\u043a\u0441\u0442" if i < 50 else None) for i in range(100)] + [(i, "abc", "a latin text") for i in range(100, 400)]
+    spark.createDataFrame(rows, "doc_id bigint, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["whole_script_detection"](spark, str(tmp_path)).collect()
+    assert [(r.lang, r.script) for r in found] == [("abc", "Latn")] and np.isclose(found[0].share, 300 * 10 / (300 * 10 + 50 * 5))
+    assert [tuple(r) for r in QUERIES["whole_normalised_codes"](spark, str(tmp_path)).collect()] == [("abc", "abc_Latn")]
