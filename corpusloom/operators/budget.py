@@ -44,9 +44,9 @@ def english_side(source_pair: str) -> bool | None:
 
 
 def extraction_plan(sources: DataFrame, quotas: DataFrame) -> DataFrame:
-    """Token and row allocations of each usable source of a target, and warnings on the others.
+    """Token and row allocations of each usable source of a dataset's target, and warnings on the others.
 
-    ``sources``: ``target_pair, source_pair, n_lines, total_tokens``; ``quotas``: ``target_pair, quota``. Output one
+    ``sources``: ``dataset, target_pair, source_pair, n_lines, total_tokens``; ``quotas``: ``dataset, target_pair, quota``. Output one
     row a source, ``alloc_tokens`` and ``rows_to_sample`` null where ``warning`` says why.
     """
 
@@ -62,13 +62,13 @@ def extraction_plan(sources: DataFrame, quotas: DataFrame) -> DataFrame:
         alloc, rows = [None] * len(frame), [None] * len(frame)
         for i, a in zip(good, shares):
             alloc[i], rows[i] = a, round(a / (frame["total_tokens"][i] / frame["n_lines"][i]))
-        out = frame[["target_pair", "source_pair"]].copy()
+        out = frame[["dataset", "target_pair", "source_pair"]].copy()
         out["alloc_tokens"], out["rows_to_sample"] = pd.array(alloc, "Int64"), pd.array(rows, "Int64")
         out["eng_is_source"], out["warning"] = pd.array(side, "boolean"), warn
         return out
 
-    joined = sources.join(quotas.select("target_pair", "quota"), "target_pair").filter("quota is not null")
-    return joined.groupBy("target_pair").applyInPandas(plan, "target_pair string, source_pair string, alloc_tokens bigint, rows_to_sample bigint, eng_is_source boolean, warning string")
+    joined = sources.join(quotas.select("dataset", "target_pair", "quota"), ["dataset", "target_pair"]).filter("quota is not null")
+    return joined.groupBy("dataset", "target_pair").applyInPandas(plan, "dataset string, target_pair string, source_pair string, alloc_tokens bigint, rows_to_sample bigint, eng_is_source boolean, warning string")
 
 
 def pack_bins(sizes: dict[str, int], bins: int) -> list[list[str]]:

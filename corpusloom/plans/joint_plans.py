@@ -332,10 +332,10 @@ def shuffled_samples(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def extraction_plan(spark: SparkSession, d: str) -> DataFrame:
-    """Allocations of the sources of one dataset under its quotas."""
-    sources = table(spark, d, "source_plan").filter("dataset = 'NLLB'").groupBy("target_pair", "source_pair").agg(F.max(F.struct("planned_at", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce("total_tokens", F.lit(0)).alias("total_tokens"))).alias("r"))
-    sources = sources.select("target_pair", "source_pair", "r.n_lines", "r.total_tokens")
-    quotas = table(spark, d, "pair_plan").filter("dataset = 'NLLB'").groupBy("target_pair").agg(F.max("quota").alias("quota"))
+    """Allocations of the sources of every dataset under its quotas."""
+    sources = table(spark, d, "source_plan").groupBy("dataset", "target_pair", "source_pair").agg(F.max(F.struct("planned_at", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce("total_tokens", F.lit(0)).alias("total_tokens"))).alias("r"))
+    sources = sources.select("dataset", "target_pair", "source_pair", "r.n_lines", "r.total_tokens")
+    quotas = table(spark, d, "pair_plan").groupBy("dataset", "target_pair").agg(F.max("quota").alias("quota"))
     return budget.extraction_plan(sources, quotas)
 
 

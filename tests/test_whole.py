@@ -7,7 +7,7 @@ import pandas as pd
 import regex
 
 from corpusloom.functions import text as T
-from corpusloom.operators import joint, outlier
+from corpusloom.operators import budget, joint, outlier
 from corpusloom.operators.thresholds import LOWER_ONLY, SAFEGUARDS, UPPER_ONLY
 from corpusloom.plans import joint_plans, registry
 from corpusloom.plans.views import WHOLE_FEATURES
@@ -158,3 +158,17 @@ def test_script_of_all_texts(spark, tmp_path):
     found = QUERIES["whole_script_detection"](spark, str(tmp_path)).collect()
     assert [(r.lang, r.script) for r in found] == [("abc", "Latn")] and np.isclose(found[0].share, 300 * 10 / (300 * 10 + 50 * 5))
     assert [tuple(r) for r in QUERIES["whole_normalised_codes"](spark, str(tmp_path)).collect()] == [("abc", "abc_Latn")]
+
+
+def test_plan_of_every_dataset(spark, sf):
+    got = QUERIES["extraction_plan"](spark, sf).toPandas()
+    keys = ["dataset", "target_pair"]
+    quota = pd.read_parquet(f"{sf}/pair_plan.parquet").dropna(subset=keys).groupby(keys)["quota"].max().dropna()
+    sources = pd.read_parquet(f"{sf}/source_plan.parquet").dropna(subset=[*keys, "source_pair"])
+    sources = sources.sort_values("planned_at").drop_duplicates([*keys, "source_pair"], keep="last").set_index(keys)
+    want = sources[sources.index.isin(quota.index)].reset_index()
+    names = [*keys, "source_pair"]
+    assert sorted(map(tuple, got[names].to_numpy())) == sorted(map(tuple, want[names].to_numpy())) and got["dataset"].nunique() > 1
+    for k, part in got[got["warning"].isna()].groupby(keys):
+        caps = part.merge(want, on=names).sort_values("source_pair")
+        assert part.sort_values("source_pair")["alloc_tokens"].tolist() == budget.allocate(int(quota[k]), caps["total_tokens"].astype(int).tolist())
