@@ -29,6 +29,15 @@ def p1_method(spark: SparkSession, d: str) -> DataFrame:
     return tokens.text_sides(spread(table(spark, d, "documents")), spread(table(spark, d, "bitext")), tokens.unigram_count(spark))
 
 
+def p1_method_slices(spark: SparkSession, d: str) -> DataFrame:
+    """Best-path lengths summed by source, language and domain."""
+    return tokens.budget_by_slice(spread(table(spark, d, "documents")), table(spark, d, "lang_plan"), tokens.unigram_count(spark))
+
+
+def p1_method_source_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.budget_by_source_pair(spread(table(spark, d, "bitext")), table(spark, d, "source_plan"), tokens.unigram_count(spark))
+
+
 def p1_tokens(spark: SparkSession, d: str) -> DataFrame:
     return tokens.text_sides(spread(table(spark, d, "documents")), spread(table(spark, d, "bitext")), tokens.token_count())
 
@@ -167,7 +176,7 @@ def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        p1_method, p1_tokens, p1_slices, p1_source_pairs, p2_ranking, p3_found, p3_report, p4_found, p4_segments, p4_texts,
+        p1_method, p1_method_slices, p1_method_source_pairs, p1_tokens, p1_slices, p1_source_pairs, p2_ranking, p3_found, p3_report, p4_found, p4_segments, p4_texts,
         p5_method, p5_found, p5_report, p6_found, p6_cutoffs, p7_ids, p8_found, p8_leaks, p9_found, p9_pieces,
     )
 }

@@ -172,3 +172,15 @@ def test_plan_of_every_dataset(spark, sf):
     for k, part in got[got["warning"].isna()].groupby(keys):
         caps = part.merge(want, on=names).sort_values("source_pair")
         assert part.sort_values("source_pair")["alloc_tokens"].tolist() == budget.allocate(int(quota[k]), caps["total_tokens"].astype(int).tolist())
+
+
+def test_best_path_totals(spark, sf):
+    from corpusloom.llm import queries
+
+    sizes = queries.p1_method(spark, sf).toPandas()
+    key = sizes.columns[-1]
+    documents = sizes[sizes.iloc[:, 0] == "documents"][key].sum()
+    slices = queries.QUERIES["p1_method_slices"](spark, sf).toPandas().groupby("slice")["n_tokens"].sum()
+    assert len(slices) == 3 and (slices == documents).all()
+    pairs = queries.QUERIES["p1_method_source_pairs"](spark, sf).toPandas().drop_duplicates("source_pair")
+    assert pairs["held_tokens"].sum() == sizes[key].sum() - documents
