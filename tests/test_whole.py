@@ -184,3 +184,12 @@ def test_best_path_totals(spark, sf):
     assert len(slices) == 3 and (slices == documents).all()
     pairs = queries.QUERIES["p1_method_source_pairs"](spark, sf).toPandas().drop_duplicates("source_pair")
     assert pairs["held_tokens"].sum() == sizes[key].sum() - documents
+
+
+def test_repetition_of_long_texts():
+    letters = "".join(np.random.default_rng(3).choice(list("abcdefghijklmnopqrstuvwxyz"), 3_000_000))
+    end = " xyzxyz xyz xyz"
+    assert T.repetition(letters[:2000] + end) == 3 and T.repetition(letters[:2000]) == 0
+    assert T.repetition(letters + end) > 0
+    for spaces in (1000, 100_000):
+        assert T.repetition("abc" + " " * spaces + "abd" + end) == 3
