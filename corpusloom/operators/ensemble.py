@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.values import truth
-from corpusloom.operators.keys import join_groups
+from corpusloom.operators.keys import join_groups, join_table
 from corpusloom.operators.prefix import percent_ranks
 
 VARIANTS = ("both_seen", "src_seen", "tgt_seen", "both_unseen")
@@ -18,7 +18,7 @@ def normalised(scores: DataFrame, model: str, score: str) -> DataFrame:
     filled = scores.withColumn(score, F.coalesce(F.nanvl(score, F.lit(0.0)), F.lit(0.0)))
     moments = filled.groupBy(model).agg(F.avg(score).alias("_mean"), F.stddev_samp(score).alias("_std"))
     z = (F.col(score) - F.col("_mean")) / F.nullif(F.col("_std"), F.lit(0.0))
-    return percent_ranks(filled.join(moments, model).withColumn("z_score", z).drop("_mean", "_std"), [model], score)
+    return percent_ranks(join_table(filled, moments, [model]).withColumn("z_score", z).drop("_mean", "_std"), [model], score)
 
 
 def direction_summary(scores: DataFrame, model: str, direction: str, score: str) -> DataFrame:

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import NO_SPACE_SCRIPTS, lcs_ratio, letter_count, numeral_score, repetition_score, script_share, strip, word_sizes
 from corpusloom.functions.values import clip, finite, score_bin
 from corpusloom.operators.keys import join_groups
-from corpusloom.operators.prefix import running_sum
+from corpusloom.operators.prefix import running_sum, value_ranks
 from corpusloom.storage import materialize
 
 #: Reasons for which a row is rejected outright, as bits.
@@ -130,12 +129,10 @@ def text_signals(source: Column, target: Column, source_lang: Column, target_lan
 
 def mid_ranks(rows: DataFrame, group: list[str], value: str, name: str) -> DataFrame:
     """``rows`` with the empirical distribution function at ``value`` within the group, ties at their middle; null
-    for null values. Computed from counts of distinct values, so a group of any size is spread over the cluster."""
-    counted = materialize(rows.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_n")), "counted")
-    sizes = counted.groupBy(*group).agg(F.sum("_n").alias("_all"))
-    ranks = join_groups(running_sum(counted, group, [F.col(value)], F.col("_n"), "_to"), sizes, group)
-    ranks = ranks.select(*group, value, ((2 * F.col("_to") - F.col("_n")) / (2 * F.col("_all"))).alias(name))
-    return join_groups(rows, ranks, [*group, value], "left")
+    for null values. Ranks come from slices, so a group or a value of any size is spread over the cluster."""
+    middle = (2 * F.col("_less") + F.col("_equal")) / (2 * F.col("_all"))
+    ranked = value_ranks(rows, group, value).select(*rows.columns, middle.alias(name))
+    return ranked.unionByName(rows.filter(F.col(value).isNull()).withColumn(name, F.lit(None).cast("double")))
 
 
 def mid_ranks_of(rows: DataFrame, row_id: str, group: list[str], values: dict[str, str]) -> DataFrame:
@@ -147,22 +144,16 @@ def mid_ranks_of(rows: DataFrame, row_id: str, group: list[str], values: dict[st
     return rows.join(wide, row_id, "left")
 
 
-def cdf_knots(values: np.ndarray, knots: int = 257) -> tuple[list[float], list[float]]:
-    """Distinct quantiles of the finite values and the mid-rank distribution function there."""
-    v = np.sort(values[np.isfinite(values)])
-    if not len(v):
-        return [], []
-    x = np.unique(np.quantile(v, np.linspace(0, 1, knots)))
-    return x.tolist(), ((np.searchsorted(v, x, "left") + np.searchsorted(v, x, "right")) / (2 * len(v))).tolist()
-
-
 def fit_cdfs(rows: DataFrame, group: list[str], value: str, knots: int = 257) -> DataFrame:
-    """``group, x, p, n``: ``cdf_knots`` of all finite values of each group, from counts of distinct values and their
-    running sums, so that no task holds a whole group. Null groups are groups of their own."""
+    """``group, x, p, n``: up to ``knots`` distinct quantiles ``x`` of all finite values of each group, the share ``p`` of
+    values below each plus half of those equal to it, and the number of values.
+
+    From counts of distinct values and their running sums, so that no task holds a whole group. Null groups are groups
+    of their own; a group without a finite value has empty arrays."""
     finite_rows = rows.select(*group, finite(F.col(value).cast("double")).alias("_v"))
     counted = materialize(finite_rows.filter("_v is not null").groupBy(*group, "_v").agg(F.count("*").alias("_n")), "counted")
     sizes = finite_rows.groupBy(*group).agg(F.count("_v").alias("n"))
-    ranked = join_groups(running_sum(counted, group, [F.col("_v")], F.col("_n"), "_to"), sizes, group)
+    ranked = running_sum(counted, group, [F.col("_v")], F.col("_n"), "_to", "n")
     # The quantile k lies between the places floor(at) and ceil(at), counted from 0; a value holds the places [_to - _n, _to).
     steps, last = F.lit(knots - 1), F.col("n") - 1
     at = F.col("_k") * last / steps

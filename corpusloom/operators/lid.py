@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators.keys import join_groups
 from corpusloom.operators.prefix import exact_quantiles
+from corpusloom.storage import broadcast_if_small, materialize
 
 
 def confidence_thresholds(predictions: DataFrame, keys: list[str], confidence: str) -> DataFrame:
@@ -25,7 +26,7 @@ def agreed_language(rows: DataFrame, thresholds: DataFrame, original: str, model
     valid, first = F.lit(True), None
     for i, (model, (label, confidence)) in enumerate(models.items()):
         t = thresholds.filter(F.col("model") == model).select(F.col("lang").alias(f"_l{i}"), F.col("threshold").alias(f"_t{i}"))
-        rows = rows.join(F.broadcast(t), F.col(label) == F.col(f"_l{i}"), "left").drop(f"_l{i}")  # one row per language
+        rows = rows.join(broadcast_if_small(materialize(t, "lid")), F.col(label) == F.col(f"_l{i}"), "left").drop(f"_l{i}")  # one row a label
         first = label if first is None else first
         valid = valid & (F.col(confidence) > F.coalesce(F.col(f"_t{i}"), F.lit(float("inf")))) & (F.col(label) == F.col(first))
     decided = F.when(F.coalesce(valid, F.lit(False)), F.col(first)).otherwise(F.col(original))

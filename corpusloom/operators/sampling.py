@@ -7,8 +7,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.values import clip, stable_uniform
-from corpusloom.operators.prefix import running_sum
+from corpusloom.operators.keys import join_groups, join_table
+from corpusloom.operators.prefix import row_numbers, running_sum
+from corpusloom.storage import materialize
 
+#: Rows a group up to which Spark limits a ranking before the shuffle (its windowGroupLimitThreshold).
+WINDOW_ROWS = 1000
 #: Bins of the weight histogram, and the length at which preference for long texts ends.
 WEIGHT_BINS, LENGTH_CAP = 65_536, 512
 
@@ -17,12 +21,36 @@ def fraction_sample(rows: DataFrame, fraction: float, seed: int, *ids: str) -> D
     return rows.filter(stable_uniform(seed, *[F.col(i) for i in ids]) < fraction)
 
 
+def _lowest(rows: DataFrame, keys: list[str], wanted: DataFrame, u: Column, ids: list[str]) -> DataFrame:
+    """Of each group the ``_take`` rows with the lowest ``u``, ties by ``ids``. ``wanted``: ``keys, _n, _take``, with the group's size.
+
+    Rows far above the place of the last one taken are dropped where they are read: ``u`` is uniform, so the bound lies
+    twelve deviations above it. Groups in which that left too few, however unlikely, keep all their rows. What remains
+    is numbered over slices, so neither a large group nor a large sample of it comes to one task."""
+    take = F.col("_take").cast("double")
+    wanted = materialize(wanted.filter("_take > 0").withColumn("_below", (take + 12 * F.sqrt(take) + 100) / F.col("_n")), "wanted")
+    near = join_table(rows.withColumn("_u", u), wanted, keys).filter(F.col("_u") < F.col("_below"))
+    near = materialize(near, "near")  # a bounded multiple of the sample
+    found = near.groupBy(*keys).agg(F.count("*").alias("_found"))
+    short = materialize(join_groups(wanted, found, keys, "left").filter("coalesce(_found, 0) < least(_take, _n)").select(*wanted.columns), "short")
+    if not short.isEmpty():
+        rest = join_table(rows.withColumn("_u", u), short, keys).filter(F.col("_u") >= F.col("_below"))
+        near = near.unionByName(rest)
+    numbered = row_numbers(near, keys, [F.col("_u"), *[F.col(i) for i in ids]], "_place")
+    return numbered.filter("_place <= _take").select(*rows.columns)
+
+
 def sample_k(rows: DataFrame, keys: list[str], k: int, seed: int, *ids: str) -> DataFrame:
-    """Exactly min(k, n) rows of each group, uniform without replacement. Spark keeps k rows a group and task before
-    the shuffle, so a large group doesn't reach one task; for samples of millions use ``fraction_sample``."""
-    order = [stable_uniform(seed, *[F.col(i) for i in ids]), *[F.col(i) for i in ids]]
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return rows.withColumn("_place", place).filter(F.col("_place") <= k).drop("_place")
+    """Exactly min(k, n) rows of each group, uniform without replacement.
+
+    Up to ``WINDOW_ROWS``, Spark keeps k rows of a group and task before it shuffles. Beyond, it would bring the group
+    together, and the same rows are found by ``_lowest``."""
+    u, own = stable_uniform(seed, *[F.col(i) for i in ids]), [F.col(i) for i in ids]
+    if k <= WINDOW_ROWS:
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(u, *own))
+        return rows.withColumn("_place", place).filter(F.col("_place") <= k).drop("_place")
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n")).withColumn("_take", F.least(F.col("_n"), F.lit(k)))
+    return _lowest(rows, keys, sizes, u, list(ids))
 
 
 def proportional_sizes(sizes: DataFrame, keys: list[str], stratum: str, n: str, k: int) -> DataFrame:
@@ -34,21 +62,19 @@ def proportional_sizes(sizes: DataFrame, keys: list[str], stratum: str, n: str,
 
 def proportional_sample(rows: DataFrame, keys: list[str], stratum: str, k: int, seed: int, *ids: str) -> DataFrame:
     """About k rows of each group, spread over its strata in proportion to their sizes."""
-    sizes = rows.groupBy(*keys, stratum).agg(F.count("*").alias("n"))
-    takes = proportional_sizes(sizes, keys, stratum, "n", k)
-    order = [stable_uniform(seed, *[F.col(i) for i in ids]), *[F.col(i) for i in ids]]
-    place = F.row_number().over(Window.partitionBy(*keys, stratum).orderBy(*order))
-    ranked = rows.withColumn("_place", place).filter(F.col("_place") <= k)
-    return ranked.join(takes, [*keys, stratum]).filter("_place <= take").drop("_place", "take")
+    sizes = materialize(rows.groupBy(*keys, stratum).agg(F.count("*").alias("_n")), "sizes")
+    takes = proportional_sizes(sizes, keys, stratum, "_n", k).withColumnRenamed("take", "_take")
+    wanted = join_groups(sizes, takes, [*keys, stratum])
+    return _lowest(rows, [*keys, stratum], wanted, stable_uniform(seed, *[F.col(i) for i in ids]), list(ids))
 
 
 def repeat_to(rows: DataFrame, keys: list[str], targets: DataFrame, seed: int, *ids: str) -> DataFrame:
     """Rows repeated to about ``target`` rows a group: whole copies, and the rest by chance. ``copy_no`` from 1."""
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
-    rates = targets.join(sizes, keys).select(*keys, (F.col("target") / F.col("_n")).alias("_rate"))
+    rates = join_groups(targets, sizes, keys).select(*keys, (F.col("target") / F.col("_n")).alias("_rate"))
     u = stable_uniform(seed, *[F.col(i) for i in ids])
     copies = F.floor(F.col("_rate")).cast("int") + (u < F.col("_rate") - F.floor("_rate")).cast("int")
-    joined = rows.join(rates, keys).withColumn("_copies", copies).filter("_copies > 0")
+    joined = join_table(rows, rates, keys).withColumn("_copies", copies).filter("_copies > 0")
     return joined.withColumn("copy_no", F.explode(F.sequence(F.lit(1), "_copies"))).drop("_rate", "_copies")
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.values import finite
 from corpusloom.operators.keys import join_groups
-from corpusloom.operators.prefix import exact_quantiles, running_sum
+from corpusloom.operators.prefix import exact_quantiles, value_ranks
+from corpusloom.storage import materialize
 
 #: The quantiles of feature summaries and of score summaries.
 TAILS = {"p001": 0.001, "p01": 0.01, "p05": 0.05, "median": 0.5, "p95": 0.95, "p99": 0.99, "p999": 0.999}
@@ -79,32 +80,41 @@ def histogram(rows: DataFrame, keys: list[str], score: str, bins: int = 20) -> D
 
 
 def spearman(rows: DataFrame, keys: list[str], features: list[str]) -> DataFrame:
-    """Rank correlation of every two features per group, in long form; rows with a null feature are left out.
+    """Rank correlation of every two features per group, in long form; rows with a null feature are left out, and a
+    feature that doesn't vary has none.
 
-    Ranks come from counts of distinct values, so no window spans a group.
+    All features are ranked in one sort of their long form. A group's ranks have a known mean, so they are centred
+    before products are summed and nothing cancels.
     """
     clean = rows.select(*keys, *[F.col(f).cast("double").alias(f) for f in features]).dropna(subset=features)
-    ranked = clean
-    for f in features:
-        counted = clean.groupBy(*keys, f).agg(F.count("*").alias("_n"))
-        places = running_sum(counted, keys, [F.col(f)], F.col("_n"), "_to")
-        ranks = places.select(*keys, f, (F.col("_to") - (F.col("_n") - 1) / 2.0).alias(f"_{f}"))
-        ranked = join_groups(ranked, ranks, [*keys, f])
-    pairs = list(combinations_with_replacement(features, 2))
-    wide = ranked.groupBy(*keys).agg(*[correlation(f"_{a}", f"_{b}").alias(f"{a}|{b}") for a, b in pairs])
-    long = wide.unpivot(keys, [f"{a}|{b}" for a, b in pairs], "pair", "correlation")
-    return long.select(*keys, F.split("pair", r"\|")[0].alias("feature_a"), F.split("pair", r"\|")[1].alias("feature_b"), "correlation")
-
-
-def agreement(rows: DataFrame, keys: list[str], a: str, b: str, within: float = 0.05) -> DataFrame:
-    """Per group: how two scores agree where both are there."""
+    clean = materialize(clean.withColumn("_row", F.monotonically_increasing_id()), "spearman")
+    long = clean.unpivot(["_row", *keys], features, "_f", "_v")
+    centred = (F.col("_less") + (F.col("_equal") + 1) / 2.0 - (F.col("_all") + 1) / 2.0).alias("_c")
+    ranked = value_ranks(long, [*keys, "_f"], "_v").select("_row", *keys, "_f", centred)
+    wide = ranked.groupBy("_row", *keys).agg(*[F.max(F.when(F.col("_f") == f, F.col("_c"))).alias(f"_{i}") for i, f in enumerate(features)])
+    pairs = list(combinations_with_replacement(range(len(features)), 2))
+    sums = wide.groupBy(*keys).agg(*[F.sum(F.col(f"_{i}") * F.col(f"_{j}")).alias(f"_s{i}_{j}") for i, j in pairs])
+    own = lambda i: F.col(f"_s{i}_{i}")
+    found = [
+        F.struct(F.lit(features[i]).alias("feature_a"), F.lit(features[j]).alias("feature_b"), F.when((own(i) > 0) & (own(j) > 0), F.col(f"_s{i}_{j}") / F.sqrt(own(i)) / F.sqrt(own(j))).alias("correlation"))
+        for i, j in pairs
+    ]
+    return sums.select(*keys, F.explode(F.array(*found)).alias("_x")).select(*keys, "_x.*")
+
+
+def agreement(rows: DataFrame, keys: list[str], a: str, b: str, within: float = 0.05, ranks: bool = False) -> DataFrame:
+    """Per group: how two scores agree where both are there; ``ranks``: with their rank correlation ``spearman`` too."""
     both = rows.select(*keys, F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b")).filter("a is not null and b is not null")
     both = both.withColumn("d", F.col("a") - F.col("b"))
     moments = both.groupBy(*keys).agg(
         F.count("*").alias("n"), correlation("a", "b").alias("pearson"), F.avg("d").alias("mean_diff"), F.stddev_pop("d").alias("std_diff"),
         F.avg((F.abs("d") <= within).cast("int")).alias("share_close"),
     )
-    return join_groups(moments, exact_quantiles(both, keys, "d", {"median_diff": 0.5}), keys, "left")
+    out = join_groups(moments, exact_quantiles(both, keys, "d", {"median_diff": 0.5}), keys, "left")
+    if ranks:
+        pair = spearman(both, keys, ["a", "b"]).filter("feature_a = 'a' and feature_b = 'b'")
+        out = join_groups(out, pair.select(*keys, F.col("correlation").alias("spearman")), keys, "left")
+    return out
 
 
 def share(part: Column, whole: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.operators.keys import join_groups
+from corpusloom.operators.keys import join_groups, join_table
 from corpusloom.operators.stats import SCORE_QUANTILES
 
 #: The widest bounds that statistics may not narrow, and on which side a feature is bounded.
@@ -49,7 +49,7 @@ def wide_bounds(bounds: DataFrame, keys: list[str], features: list[str]) -> Data
 def within_bounds(rows: DataFrame, bounds: DataFrame, keys: list[str], features: list[str], flags: list[str] = ()) -> DataFrame:
     """Rows inside all their group's bounds and without a true flag. A null feature or bound keeps the row; a group
     without bounds is dropped as a whole."""
-    joined = rows.join(wide_bounds(bounds, keys, features), keys)
+    joined = join_table(rows, wide_bounds(bounds, keys, features).dropna(subset=keys), keys)
     keep = F.lit(True)
     for f in features:
         v, lo, hi = F.col(f), F.col(f"{f}_lower"), F.col(f"{f}_upper")
@@ -129,7 +129,7 @@ def above_threshold(rows: DataFrame, thresholds: DataFrame, keys: list[str], sco
     """Rows whose score reaches their group's threshold. Null and NaN scores and groups without threshold are dropped."""
     s = F.col(score)
     t = thresholds.select(*keys, F.col("threshold").alias("_t"))
-    return rows.join(t, keys).filter(s.isNotNull() & ~F.isnan(s) & (s >= F.col("_t"))).select(*rows.columns)
+    return join_table(rows, t.dropna(subset=keys), keys).filter(s.isNotNull() & ~F.isnan(s) & (s >= F.col("_t"))).select(*rows.columns)
 
 
 def retention(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:

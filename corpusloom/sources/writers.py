@@ -36,29 +36,41 @@ def _fs(spark: SparkSession, path: str):
 
 
 def publish(rows: DataFrame, path: str, expected: int | None = None, **notes) -> dict:
-    """Write to a staging folder, check the row count, and rename it to ``path``, which then holds ``_MANIFEST.json``.
-
-    Readers see the old folder or the new one. The manifest has the row count, the schema, a digest of both and of the
-    notes, and the notes."""
-    spark, staging = rows.sparkSession, path.rstrip("/") + ".staging"
+    """Write to a staging folder, check the row count, and put the folder in the place of ``path``, with ``_MANIFEST.json``.
+
+    The old folder is moved aside, the new one renamed, and only then the old one deleted: a reader never finds a part of
+    either, and a crash loses neither. Between the two renames there is no folder; if a crash comes just then, the next
+    call first puts the old one back. The manifest has the row count, the schema, the notes, and a digest of all of them."""
+    spark, root = rows.sparkSession, path.rstrip("/")
+    staging, aside = f"{root}.staging", f"{root}.old"
+    fs, target = _fs(spark, root)
+    stage, old = (_fs(spark, p)[1] for p in (staging, aside))
+    if fs.exists(old):
+        if fs.exists(target):
+            fs.delete(old, True)
+        else:
+            _rename(fs, old, target)
     rows.write.mode("overwrite").parquet(staging)
     n = spark.read.parquet(staging).count()
     if expected is not None and n != expected:
         raise ValueError(f"{n} rows were written, {expected} expected")
     manifest = {"rows": n, "schema": rows.schema.simpleString(), **notes}
     manifest["digest"] = digest(manifest)
-    fs, target = _fs(spark, path)
-    _, stage = _fs(spark, staging)
-    out = fs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staging + "/_MANIFEST.json"))
+    out = fs.create(_fs(spark, f"{staging}/_MANIFEST.json")[1])
     out.write(bytearray(json.dumps(manifest, sort_keys=True).encode()))
     out.close()
     if fs.exists(target):
-        fs.delete(target, True)
-    if not fs.rename(stage, target):
-        raise OSError(f"{staging} can't be renamed")
+        _rename(fs, target, old)
+    _rename(fs, stage, target)
+    fs.delete(old, True)
     return manifest
 
 
+def _rename(fs, source, target) -> None:
+    if not fs.rename(source, target):
+        raise OSError(f"{source} can't be renamed to {target}")
+
+
 def digest(inputs: dict) -> str:
     """SHA-256 of settings and inputs, whatever the order of keys."""
     return sha256(json.dumps(inputs, sort_keys=True, default=str).encode()).hexdigest()

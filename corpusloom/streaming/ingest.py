@@ -9,19 +9,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from corpusloom.storage import shared_dir
-
 
 def process_new_files(spark: SparkSession, source: str, target: str, name: str, transform: Callable[[DataFrame], DataFrame],
-                      schema: StructType, by: list[str] = (), files_per_batch: int = 1000) -> StreamingQuery:
+                      schema: StructType, by: list[str] = (), files_per_batch: int = 1000, checkpoint: str | None = None) -> StreamingQuery:
     """Run ``transform`` over the Parquet files that earlier calls under ``name`` haven't seen, append, and stop.
 
-    The checkpoint in the shared folder remembers what is done, so a failed call is repeated and a finished one is not.
+    ``checkpoint``, by default a hidden folder in ``target``, remembers what is done, so a failed call is repeated and a
+    finished one is not, whichever session makes it. It must outlive the session as the target does.
     ``transform`` must be row-local or carry its own watermark.
     """
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
     writer = transform(stream).writeStream.format("parquet").outputMode("append").option("path", target)
-    writer = writer.option("checkpointLocation", f"{shared_dir(spark)}/streams/{name}").trigger(availableNow=True)
+    writer = writer.option("checkpointLocation", f"{checkpoint or target.rstrip('/') + '/_streams'}/{name}").trigger(availableNow=True)
     return (writer.partitionBy(*by) if by else writer).start()
 
 
@@ -42,8 +41,9 @@ def completions_per_window(events: DataFrame, by: list[str], time: str, window:
     return counted.select(*by, F.col("w.start").alias("window_start"), "n")
 
 
-def merge_completions(spark: SparkSession, source: DataFrame, state: str, keys: list[str], order: list[str], name: str) -> StreamingQuery:
-    """Keep in ``state`` the last completion of every key, by merging each micro-batch into a new version.
+def merge_completions(spark: SparkSession, source: DataFrame, state: str, keys: list[str], order: list[str], name: str, checkpoint: str | None = None) -> StreamingQuery:
+    """Keep in ``state`` the last completion of every key, by merging each micro-batch into a new version; the stream's
+    ``checkpoint`` is by default a hidden folder in ``state``.
 
     Versions are numbered by batch, so a repeated batch writes the same one again; ``current_completions`` reads the last.
     """
@@ -55,7 +55,7 @@ def merge_completions(spark: SparkSession, source: DataFrame, state: str, keys:
         last_event(known, keys, order).write.mode("overwrite").parquet(f"{state}/v{number:09d}")
 
     writer = source.filter(F.col("event") == "done").writeStream.foreachBatch(merge).trigger(availableNow=True)
-    return writer.option("checkpointLocation", f"{shared_dir(spark)}/streams/{name}").start()
+    return writer.option("checkpointLocation", f"{checkpoint or state.rstrip('/') + '/_streams'}/{name}").start()
 
 
 def _version(spark: SparkSession, state: str, most: int | None = None) -> DataFrame | None:

@@ -1,5 +1,6 @@
 """Core operators on small fixtures: hand-computed cases, brute force, nulls, ties and empty tables."""
 
+import bisect
 import json
 import os
 import random
@@ -157,8 +158,15 @@ def test_allocation(spark):
     assert joint.allocate_budget(df, "k", "original", "eligible", 0.0).agg(F.sum("budget")).first()[0] == 0
 
 
+def knots_of(values, knots=257):
+    """Distinct quantiles of the finite values, and at each the mean of the shares below and up to it."""
+    v = values[np.isfinite(values)]
+    x = np.unique(np.quantile(v, np.linspace(0, 1, knots))) if len(v) else v
+    return x.tolist(), [float(((v < k).sum() + (v <= k).sum()) / (2 * len(v))) for k in x]
+
+
 def test_cdf(spark):
-    x, p = joint.cdf_knots(np.array([1.0, 2.0, 2.0, 3.0, np.nan]))
+    x, p = knots_of(np.array([1.0, 2.0, 2.0, 3.0, np.nan]))
     df = spark.createDataFrame([(v, x, p) for v in (0.5, 1.0, 1.5, 2.0, 3.0, 9.0, None)], "v double, x array<double>, p array<double>")
     got = [r.c for r in df.select(joint.cdf_at(F.col("v"), F.col("x"), F.col("p")).alias("c")).collect()]
     assert got == pytest.approx([0.0, *np.interp([1.0, 1.5, 2.0, 3.0], x, p), 1.0, 0.5])
@@ -198,6 +206,43 @@ def test_samples(spark):
     assert abs(n["true"] - 4000) < 150 and abs(n["false"] - 1000) < 120
 
 
+def test_large_samples(spark, monkeypatch):
+    df = spark.range(9000).select("id", F.when(F.col("id") < 6000, "hot").when(F.col("id") < 8990, "b").alias("g"))
+    want = rows_of(sampling.sample_k(df, ["g"], 900, 1, "id"))
+    monkeypatch.setattr(sampling, "WINDOW_ROWS", 0)
+    assert rows_of(sampling.sample_k(df, ["g"], 900, 1, "id")) == want
+    assert sampling.sample_k(df, ["g"], 5000, 1, "id").groupBy("g").count().orderBy("count").collect() == [(None, 10), ("b", 2990), ("hot", 5000)]
+    # All of a group above the bound: it keeps its rows.
+    sizes = df.groupBy("g").agg(F.count("*").alias("_n"), F.lit(3).alias("_take"))
+    assert sampling._lowest(df, ["g"], sizes, F.lit(0.999) + F.col("id") * 0, ["id"]).groupBy("g").count().filter("count = 3").count() == 3
+
+
+def test_value_ranks(spark):
+    # One value holds 60 % of a group and lies in many slices; null, NaN and clashing columns are there.
+    rnd = random.Random(5)
+    data = [(i, rnd.choice(["a", None]), rnd.choice([0.0] * 6 + [None, float("nan"), rnd.random(), -rnd.random()])) for i in range(3000)]
+    df = spark.createDataFrame(data, "i int, g string, v double").withColumn("_n", F.lit(1)).repartition(5)
+    key = lambda v: (0, 0) if v is None else (2, 0) if v != v else (1, v)
+    for nulls in (False, True):
+        got = {r.i: (r._less, r._equal, r._all) for r in prefix.value_ranks(df, ["g"], "v", nulls=nulls).collect()}
+        some = [r for r in data if nulls or r[2] is not None]
+        by = {g: sorted(key(v) for _, h, v in some if h == g) for g in ("a", None)}
+        assert got == {i: (bisect.bisect_left(by[g], key(v)), by[g].count(key(v)), len(by[g])) for i, g, v in some}
+    assert prefix.value_ranks(df.filter("false"), ["g"], "v").count() == 0
+    local = prefix.value_ranks(df.repartition(1), [], "v")
+    assert local.count() == sum(v is not None for _, _, v in data)
+
+
+def test_join_table(spark):
+    from corpusloom.operators.keys import join_table
+
+    rows = spark.createDataFrame([(i, "a" if i % 3 else None) for i in range(300)] + [(900, "z")], "i int, g string")
+    table = spark.createDataFrame([("a", 1), (None, 2), ("q", 3)], "g string, x int")
+    for most in (0, 10):
+        assert rows_of(join_table(rows, table, ["g"], most=most).groupBy("g", "x").count()) == [("a", 1, 200), (None, 2, 100)]
+        assert join_table(rows, table, ["g"], "left", most=most).filter("x is null").count() == 1
+
+
 def test_inclusion_scale():
     w, n = np.array([1.0, 2.0, 50.0]), np.array([10, 5, 2])
     for target in (1, 3, 8, 16):

@@ -5,6 +5,7 @@ import unicodedata
 import numpy as np
 import pandas as pd
 import regex
+from test_operators import knots_of
 
 from corpusloom.functions import text as T
 from corpusloom.operators import budget, joint, outlier
@@ -146,7 +147,7 @@ def test_fitted_cdfs_cover_all_rows(spark):
     got = {r.g: r for r in joint.fit_cdfs(df, ["g"], "v").collect()}
     assert set(got) == set(groups) and got["wide"].n == 60_000 and got["none"].n == 0
     for g, values in groups.items():
-        x, p = joint.cdf_knots(values)
+        x, p = knots_of(values)
         np.testing.assert_allclose(got[g].x, x, rtol=1e-12)
         np.testing.assert_allclose(got[g].p, p, rtol=1e-12)
 
@@ -174,18 +175,6 @@ def test_plan_of_every_dataset(spark, sf):
         assert part.sort_values("source_pair")["alloc_tokens"].tolist() == budget.allocate(int(quota[k]), caps["total_tokens"].astype(int).tolist())
 
 
-def test_best_path_totals(spark, sf):
-    from corpusloom.llm import queries
-
-    sizes = queries.p1_method(spark, sf).toPandas()
-    key = sizes.columns[-1]
-    documents = sizes[sizes.iloc[:, 0] == "documents"][key].sum()
-    slices = queries.QUERIES["p1_method_slices"](spark, sf).toPandas().groupby("slice")["n_tokens"].sum()
-    assert len(slices) == 3 and (slices == documents).all()
-    pairs = queries.QUERIES["p1_method_source_pairs"](spark, sf).toPandas().drop_duplicates("source_pair")
-    assert pairs["held_tokens"].sum() == sizes[key].sum() - documents
-
-
 def test_repetition_of_long_texts():
     letters = "".join(np.random.default_rng(3).choice(list("abcdefghijklmnopqrstuvwxyz"), 3_000_000))
     end = " xyzxyz xyz xyz"
