@@ -20,6 +20,8 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
+from pyspark.sql import SparkSession
 
 #: Fixed value: the pattern that belongs to the rank files.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -29,8 +31,18 @@ BYTE_BPE_50K = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
 REMEMBERED, REMEMBERED_BYTES = 150_000, 48
 
 
+def ship(spark: SparkSession | None, path: str) -> None:
+    """Send a vocabulary file with the session's jobs, for executors on machines that don't have it."""
+    if spark is not None:
+        spark.sparkContext.addFile(path)
+
+
+def _local(path: str) -> str:
+    return path if os.path.exists(path) else SparkFiles.get(os.path.basename(path))
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
-    with open(path, "rb") as lines:
+    with open(_local(path), "rb") as lines:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
@@ -103,6 +115,9 @@ class ByteBPE:
         self.encoding = tiktoken.Encoding(os.path.basename(path), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.cut = cut_table(ranks)
         self.longest = max(map(len, ranks))
+        self.sizes = np.zeros(self.encoding.n_vocab, np.int64)  # of each token in bytes
+        for token, number in ranks.items():
+            self.sizes[number] = len(token)
         self.known: dict[bytes, tuple[int, ...]] = {}
 
     def _ids(self, fragments: list[bytes]) -> list[tuple[int, ...]]:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.storage import materialize
+from corpusloom.storage import discard, materialize
 
 BINS = 4096
 #: Up to so many groups the state of the refinement is broadcast.
@@ -40,7 +40,8 @@ def kth_value(rows: DataFrame, group: str, value: str, ranks: DataFrame, bins: i
     state = materialize(found, "cutoff")
     small = state.count() <= BROADCAST_GROUPS  # it never grows
     while not state.filter("lo < hi").isEmpty():
-        state = materialize(_zoom(rows, state, bins, kind, small), "cutoff")
+        before, state = state, materialize(_zoom(rows, state, bins, kind, small), "cutoff")
+        discard(before)
     return state.select(F.col("g").alias(group), F.col("lo").alias("cutoff"), "above")
 
 
@@ -84,11 +85,11 @@ def keep_fraction(scores: DataFrame, source: str, score: str, fractions: DataFra
     ``fractions`` has ``source``, ``keep_permille`` and ``higher_is_better``. Of n records, k = n * permille / 1000
     rounded up, the cutoff is the k-th best score and all records at least as good are kept, ties included. The report
     has ``source, n_records, k, cutoff, n_kept``; a source with k = 0 keeps none and has no row, one without records
-    neither. Null scores are no records.
+    neither. Null and NaN scores are no records.
     """
     way = F.when(F.col("higher_is_better"), 1.0).otherwise(-1.0)
     wanted = fractions.select(F.col(source).alias("_source"), F.col("keep_permille").alias("_permille"), way.alias("_way"))
-    best = scores.join(wanted, F.col(source) == F.col("_source")).filter(F.col(score).isNotNull()).withColumn("_value", F.col(score) * F.col("_way"))
+    best = scores.join(wanted, F.col(source) == F.col("_source")).filter(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))).withColumn("_value", F.col(score) * F.col("_way"))
     best = materialize(best, "scores")
     sizes = best.groupBy("_source").agg(F.count("*").alias("n_records"), F.first("_permille").alias("p"), F.first("_way").alias("way"))
     sizes = materialize(sizes.select("_source", "n_records", "way", F.expr("(n_records * p + 999) div 1000").alias("k")), "sizes")

@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 #: Labelled texts used for each language, the longest text used, and the texts whose n-grams are held at once.
 SAMPLE_PER_LANGUAGE, SAMPLE_CHARS, FIT_TEXTS = 3000, 2000, 2000
+#: Languages a model may have: each costs 0.5 MB of the broadcast matrix.
+MOST_LANGUAGES = 256
 BUCKET_BITS, ORDERS = 17, (1, 2, 3, 4)
 #: Cost in nats of a change of language behind a sentence, at a weak boundary, and anywhere else.
 CHANGE_SENTENCE, CHANGE_WEAK, CHANGE_INSIDE = 4.0, 25.0, 60.0
@@ -144,7 +146,7 @@ class NaiveBayes:
         order = np.argsort(-sizes, kind="stable")
         starts, sizes = starts[order], sizes[order]
         total = scores[starts].copy()
-        came = np.zeros((n, count), np.int8)  # the language before, for each language
+        came = np.zeros((n, count), np.int16)  # the language before, for each language
         came[starts] = np.arange(count)
         for k in range(1, int(sizes[0])):
             active = int(np.searchsorted(-sizes, -k, side="left"))  # texts with more than k words
@@ -166,14 +168,15 @@ class NaiveBayes:
 def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", per_language: int = SAMPLE_PER_LANGUAGE, longest: int = SAMPLE_CHARS) -> NaiveBayes:
     """Fit on at most ``per_language`` texts of each label, drawn by hash among those of 1 to ``longest`` characters.
 
-    The sample bounds what reaches the driver, whatever the table's size. Null labels and texts are left out.
+    The sample bounds what reaches the driver, whatever the table's size: of more than ``MOST_LANGUAGES`` labels those
+    with most texts are learnt. Null labels and texts are left out.
     """
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).filter(F.col("lang").isNotNull() & F.length("text").between(1, longest))
     # A hash threshold leaves about four times the bound, so that ranking the rest by hash moves little text.
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("size"))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("size")).orderBy(F.desc("size"), "lang").limit(MOST_LANGUAGES)
     chance = F.shiftrightunsigned(F.xxhash64("text"), 11) / F.lit(float(2**53))
     ranked = (
-        rows.join(F.broadcast(sizes), "lang")
+        rows.join(F.broadcast(sizes), "lang")  # at most MOST_LANGUAGES rows
         .filter(chance * F.col("size") < 4.0 * per_language)
         .select("lang", "text").dropDuplicates()
         .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")))

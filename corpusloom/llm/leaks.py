@@ -18,7 +18,7 @@ from __future__ import annotations
 import math
 import unicodedata
 from collections.abc import Iterator
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-#: Normalised characters of test items that are broadcast at a time.
-BLOCK_CHARS = 16_000_000
+from corpusloom.storage import materialize
+
+#: Most normalised characters of test items that are broadcast at a time. Blocks hold about half of it, for which a
+#: worker's automaton takes about 55 bytes a character, 220 MB.
+BLOCK_CHARS = 8_000_000
 #: Hits verified together.
 CHUNK = 200_000
 
@@ -190,7 +193,7 @@ def _clean(texts: pa.Array) -> pa.Array:
     return pa.array([normalise(t) for t in texts.to_pylist()], pa.string())
 
 
-@cache
+@lru_cache(maxsize=1)  # a worker holds one block's automaton at a time
 def _items(texts: tuple[str, ...], window: int, errors: int) -> Items:
     return Items(list(texts), window, errors)
 
@@ -207,7 +210,7 @@ def find_leaks(
     if not 0 <= errors <= 3 or not 2 * (errors + 2) <= window <= 63 + block_length(window, errors):
         raise ValueError("0 to 3 edits, in windows of up to about 80 characters")
     spark = documents.sparkSession
-    known = items.select(F.col(item_id).alias("item"), _clean(F.col(item_text)).alias("t")).filter("t != ''").distinct().cache()
+    known = materialize(items.select(F.col(item_id).alias("item"), _clean(F.col(item_text)).alias("t")).filter("t != ''").distinct(), "leak-items")
     total = known.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
     parts = max(1, math.ceil(2 * total / block_chars))
     id_type = documents.schema[doc_id].dataType.simpleString()
@@ -216,7 +219,11 @@ def find_leaks(
     for part in range(parts):
         texts = tuple(sorted(r.t for r in known.filter(F.pmod(F.xxhash64("t"), F.lit(parts)) == part).select("t").distinct().collect()))
         shared = spark.sparkContext.broadcast(texts)
-        results.append(corpus.mapInArrow(_scan(shared, window, errors), f"d {id_type}, t string, edits int"))
+        hits = corpus.mapInArrow(_scan(shared, window, errors), f"d {id_type}, t string, edits int")
+        if parts > 1:  # its block can go before the next one comes
+            hits = materialize(hits, "leak-hits")
+            shared.destroy()
+        results.append(hits)
     found = results[0]
     for more in results[1:]:
         found = found.union(more)

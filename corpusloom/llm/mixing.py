@@ -11,10 +11,11 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructType
 
 from corpusloom.llm.tokens import current_plan
 from corpusloom.storage import materialize
@@ -22,31 +23,52 @@ from corpusloom.storage import materialize
 KEYS = ["dataset", "target_pair", "source_pair"]
 
 
-def truncated_cdf(rate: float, cap: int) -> list[float]:
-    """P(copies <= i) for i = 0 .. cap - 1, of min(Poisson, cap) with mean ``rate``."""
-    if rate <= 0:
-        return [1.0] * cap
+def _below(mean: float, cap: int) -> tuple[int, np.ndarray]:
+    """P(copies <= i) of a Poisson distribution with that mean, for i = first .. cap - 1: ``first`` and the values, up to
+    where they are 1. Below ``first`` they are 0 to the last digit. Terms are computed in logarithms around the mean, so
+    neither a large mean nor a large cap costs more than their spread."""
+    reach = 45.0 * math.sqrt(mean) + 60.0
+    first, last = max(0, math.floor(mean - reach)), min(cap, math.ceil(mean + reach))
+    if first >= last:
+        return cap, np.zeros(0)
+    i = np.arange(first, last, dtype=float)
+    logs = -mean + first * math.log(mean) - math.lgamma(first + 1) + np.concatenate([[0.0], np.cumsum(math.log(mean) - np.log(i[1:]))])
+    return first, np.minimum(np.cumsum(np.exp(logs)), 1.0)
+
+
+def replication(rate: float, cap: int) -> tuple[int, list[float]]:
+    """``first`` and P(copies <= i) for i = first, first + 1, .. of min(Poisson, cap) with mean ``rate``. A record with
+    uniform number u has ``first`` copies and one more for each value up to u. A rate at the cap or above it gives
+    ``cap`` copies of everything, one of 0 or less none."""
+    if rate <= 0 or cap <= 0:
+        return 0, []
     if rate >= cap:
-        return [0.0] * cap
+        return cap, []
 
-    def below(lam: float) -> list[float]:
-        term, total, out = math.exp(-lam), 0.0, []
-        for i in range(cap):
-            total += term
-            term *= lam / (i + 1)
-            out.append(min(total, 1.0))
-        return out
+    def mean_of(m: float) -> float:
+        first, below = _below(m, cap)
+        return first + float((1.0 - below).sum())
 
-    low, high = 0.0, 700.0
+    low, high = 0.0, 2.0 * cap + 800.0  # there the cut-off distribution's mean is the cap to the last digit
     for _ in range(200):
-        mid = (low + high) / 2
-        low, high = (mid, high) if cap - sum(below(mid)) < rate else (low, mid)
-    return below((low + high) / 2)
+        middle = (low + high) / 2
+        if middle in (low, high):
+            break
+        low, high = (middle, high) if mean_of(middle) < rate else (low, middle)
+    first, below = _below(high, cap)
+    kept = below[below < 1.0]
+    return first, kept.tolist()
+
+
+def truncated_cdf(rate: float, cap: int) -> list[float]:
+    """P(copies <= i) for i = 0 .. cap - 1, of min(Poisson, cap) with mean ``rate``."""
+    first, below = replication(rate, cap)
+    return [*[0.0] * first, *below, *[1.0] * (cap - first - len(below))]
 
 
-@F.pandas_udf(ArrayType(DoubleType()))
-def _cdf(rate: pd.Series, cap: pd.Series) -> pd.Series:
-    return pd.Series([truncated_cdf(r, int(c)) for r, c in zip(rate, cap)])
+@F.pandas_udf(StructType().add("first", IntegerType()).add("below", ArrayType(DoubleType())))
+def _copies(rate: pd.Series, cap: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([replication(r, int(c)) for r, c in zip(rate, cap)], columns=["first", "below"])
 
 
 def mixing_plan(source_plan: DataFrame, pair_plan: DataFrame) -> DataFrame:
@@ -84,10 +106,10 @@ def replicate(records: DataFrame, plan: DataFrame, seed: int = 0) -> DataFrame:
     """Each record with each source of the plan that uses it: the keys, ``record_id, size, copies`` (0 included).
 
     ``records`` has ``source_pair, record_id, size``; null sizes count 0, records of no source are left out."""
-    chances = materialize(plan.select(*KEYS, _cdf("rate", "max_repeat").alias("cdf")), "mix-plan")
+    chances = materialize(plan.select(*KEYS, _copies("rate", "max_repeat").alias("c")).select(*KEYS, "c.first", "c.below"), "mix-plan")
     u = uniform(seed, *[F.col(k) for k in KEYS], F.col("record_id"))
     joined = records.select("source_pair", "record_id", "size").join(chances, "source_pair").withColumn("u", u)
-    return joined.select(*KEYS, "record_id", F.coalesce("size", F.lit(0)).alias("size"), F.size(F.filter("cdf", lambda c: c <= F.col("u"))).alias("copies"))
+    return joined.select(*KEYS, "record_id", F.coalesce("size", F.lit(0)).alias("size"), (F.col("first") + F.size(F.filter("below", lambda c: c <= F.col("u")))).alias("copies"))
 
 
 def mixing_report(records: DataFrame, plan: DataFrame, seed: int = 0) -> DataFrame:

@@ -19,6 +19,8 @@ from corpusloom.storage import materialize
 
 #: The share of all pairs that one corpus may have, in percent, and the model whose score decides what is kept.
 CAP_PERCENT, CAP_MODEL = 4, "cometkiwi-da-xl"
+#: The share that one language may have where languages are contributors too.
+LANGUAGE_PERCENT = 10
 LEAK_WINDOW, LEAK_ERRORS = 60, 2
 PIECE_TOKENS, PIECE_OVERLAP = 2048, 128
 
@@ -71,6 +73,25 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return _capped(spark, d)[1].filter("not kept").select("pair_id")
 
 
+def _several(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Pairs with three contributors each, their corpus and both their languages, decided, and the caps."""
+    rows = table(spark, d, "bitext").filter("pair_id is not null")
+    named = lambda kind, c: F.concat(F.lit(f"{kind}:"), c)
+    who = F.array_compact(F.array(named("corpus", source_key(F.col("corpus"))), named("lang", F.col("src_lang")), named("lang", F.col("tgt_lang"))))
+    pairs = rows.groupBy("pair_id").agg(F.array_distinct(F.flatten(F.collect_set(who))).alias("contributors"))
+    scores = current_scores(table(spark, d, "opus_scored"), table(spark, d, "qe_models"), CAP_MODEL).select("pair_id", F.col("qe_score").alias("score"))
+    records = materialize(pairs.join(scores, "pair_id", "left"), "several")
+    n = records.count()
+    share = F.when(F.col("contributor").startswith("corpus:"), CAP_PERCENT).otherwise(LANGUAGE_PERCENT)
+    caps = records.select(F.explode("contributors").alias("contributor")).distinct().withColumn("cap", F.floor(F.lit(n) * share / 100).cast("bigint"))
+    return records, cap_contributors(records, caps, "pair_id", "contributors", "score")
+
+
+def p3_contributors(spark: SparkSession, d: str) -> DataFrame:
+    """The pairs that must go so that neither a corpus nor a language, on either side, exceeds its cap."""
+    return _several(spark, d)[1].filter("not kept").select("pair_id")
+
+
 def p3_report(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of each corpus, how many are kept, and the lowest and the highest valid score among them."""
     records, decided = _capped(spark, d)
@@ -176,7 +197,7 @@ def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        p1_method, p1_method_slices, p1_method_source_pairs, p1_tokens, p1_slices, p1_source_pairs, p2_ranking, p3_found, p3_report, p4_found, p4_segments, p4_texts,
+        p1_method, p1_method_slices, p1_method_source_pairs, p1_tokens, p1_slices, p1_source_pairs, p2_ranking, p3_found, p3_contributors, p3_report, p4_found, p4_segments, p4_texts,
         p5_method, p5_found, p5_report, p6_found, p6_cutoffs, p7_ids, p8_found, p8_leaks, p9_found, p9_pieces,
     )
 }

@@ -7,15 +7,15 @@ model's scale, offset and outliers cancel; how much it counts is its weight alon
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.cutoff import kth_value
+from corpusloom.operators.prefix import value_ranks
 from corpusloom.storage import materialize
 
 #: Makes the median absolute deviation of a normal distribution its standard deviation.
 NORMAL = 1.4826
-RANK_BINS = 65536
 
 
 def _lower_median(rows: DataFrame, group: str, value: str) -> DataFrame:
@@ -56,13 +56,7 @@ def combined_ranking(scores: DataFrame, item: str, model: str, score: str, weigh
 
 
 def with_rank(rows: DataFrame, score: str) -> DataFrame:
-    """``rows`` with ``rank`` by a score in [0, 1], ties sharing the smallest. No window spans more than one bin's
-    distinct values or the bins themselves."""
-    values = rows.groupBy(score).agg(F.count("*").alias("n")).withColumn("bin", F.least(F.floor(F.col(score) * RANK_BINS), F.lit(RANK_BINS - 1)))
-    values = materialize(values, "rank-values")
-    before = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    bins = values.groupBy("bin").agg(F.sum("n").alias("n"))
-    offsets = bins.select("bin", before(Window.orderBy(F.desc("bin"))).alias("offset"))
-    inner = values.select(score, "bin", before(Window.partitionBy("bin").orderBy(F.desc(score))).alias("inner"))
-    ranks = inner.join(F.broadcast(offsets), "bin").select(score, (F.col("offset") + F.col("inner") + 1).alias("rank"))
-    return rows.join(ranks, score)
+    """``rows`` with ``rank``: 1 + the number of rows with a greater score, so ties share the smallest; rows without a
+    score are left out. Ranks come from range slices, so a score that most rows share is spread over the cluster."""
+    ranked = value_ranks(rows, [], score)
+    return ranked.select(*rows.columns, (F.col("_all") - F.col("_less") - F.col("_equal") + 1).alias("rank"))

@@ -22,7 +22,10 @@ def current_scores(scored: DataFrame, models: DataFrame, only: str | None = None
     rows = scored.select("pair_id", model_key(F.col("qe_model")).alias("m"), "scored_at", F.nanvl("qe_score", F.lit(None).cast("double")).alias("s"))
     if only is not None:
         rows = rows.filter(F.col("m") == only.strip().lower())
-    rows = rows.filter("pair_id is not null and m is not null")
-    latest = rows.groupBy("pair_id", "m").agg(F.max(F.struct("scored_at", "s")).alias("r")).select("pair_id", "m", F.col("r.s").alias("qe_score"))
+    rows = rows.filter("pair_id is not null").join(known.select("m"), "m", "left_semi")
+    # Buffers of fixed width in both steps, so both are hash aggregations: the best score of a time, then that of the last time.
+    times = rows.groupBy("pair_id", "m", "scored_at").agg(F.max("s").alias("s"))
+    last = F.when(F.max("scored_at").isNull(), F.max("s")).otherwise(F.max_by("s", "scored_at"))
+    latest = times.groupBy("pair_id", "m").agg(last.alias("qe_score"))
     inside = (F.abs("qe_score") < float("inf")) & F.col("qe_score").between(F.col("min_score"), F.col("max_score"))
     return latest.join(known, "m").filter(inside).select("pair_id", "qe_model", "qe_score", "higher_is_better")

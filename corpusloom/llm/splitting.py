@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.bytebpe import BYTE_BPE_50K, ByteBPE, byte_bpe
+from corpusloom.llm.bytebpe import BYTE_BPE_50K, ByteBPE, byte_bpe, ship
 
 PARAGRAPH, LINE, SENTENCE, WORD, INSIDE = 4, 3, 2, 1, 0
 BOUNDARIES = ("inside", "word", "sentence", "line", "paragraph", "end")
@@ -134,13 +134,14 @@ def split_oversized(
     overlap_tokens, ends_at`` and, if wanted, ``piece_text``. The module's text says how."""
     if not 0 <= overlap < limit:
         raise ValueError("the overlap must be smaller than the limit")
+    ship(documents.sparkSession, path)
     id_type = documents.schema[id_col].dataType.simpleString()
     schema = f"id {id_type}, piece_no int, n_pieces int, begin_token int, end_token int, n_tokens int, overlap_tokens int, ends_at string"
     schema += ", piece_text string" * with_text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(path)
-        sizes = np.array([len(bpe.encoding.decode_single_token_bytes(i)) for i in range(bpe.encoding.n_vocab)], np.int64)
+        sizes = bpe.sizes
         for batch in batches:
             counts = bpe.count(batch.column(1)).to_numpy()
             fits = np.flatnonzero((counts > 0) & (counts <= limit))

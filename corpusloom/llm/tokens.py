@@ -8,15 +8,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.bytebpe import BYTE_BPE_50K, byte_bpe
+from corpusloom.llm.bytebpe import BYTE_BPE_50K, byte_bpe, ship
 from corpusloom.llm.languages import language_of, source_key
 from corpusloom.llm.unigram import UnigramVocabulary
 
 
-@cache
 def token_count(path: str = BYTE_BPE_50K):
     """UDF: tokens of a text under a byte-level BPE vocabulary, without special tokens; null and empty texts have 0."""
+    ship(SparkSession.getActiveSession(), path)
+    return _count_udf(path)
+
 
+@cache
+def _count_udf(path: str):
     @F.arrow_udf("bigint")
     def count(texts: pa.Array) -> pa.Array:
         return byte_bpe(path).count(texts)
@@ -24,10 +28,14 @@ def token_count(path: str = BYTE_BPE_50K):
     return count
 
 
-@cache
 def token_ids(path: str = BYTE_BPE_50K):
     """UDF: ids of a text under a byte-level BPE vocabulary, without special tokens; null and empty texts have []."""
+    ship(SparkSession.getActiveSession(), path)
+    return _ids_udf(path)
+
 
+@cache
+def _ids_udf(path: str):
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
         return byte_bpe(path).encode(texts)

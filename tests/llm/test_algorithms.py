@@ -60,17 +60,25 @@ def test_keep_fraction(spark):
     assert set(report) == {"up", "down"} and not kept & {900, 901}
 
 
+def test_keep_fraction_without_nan(spark):
+    df = spark.createDataFrame([(i, "s", v) for i, v in enumerate([1.0, 2.0, 3.0, float("nan")])], "id int, src string, score double")
+    for up in (True, False):
+        report, kept = cutoff.keep_fraction(df, "src", "score", spark.createDataFrame([("s", 500, up)], "src string, keep_permille int, higher_is_better boolean"))
+        assert sorted(r.score for r in kept.collect()) == ([2.0, 3.0] if up else [1.0, 2.0]) and report.first().n_records == 3
+
+
 def test_current_scores(spark):
     rows = [
         (1, "M", 0.5, 1), (1, " m\t", 0.7, 2), (1, "m", 0.7, 2),  # the later run, repeated
         (2, "m", 0.5, 1), (2, "m", None, 2),  # a later failure counts
         (3, "m", float("nan"), 1), (4, "m", float("inf"), 1), (5, "m", 1.0, 1), (6, "m", 1.01, 1),
+        (10, "m", 0.3, None), (11, "m", 0.3, None), (11, "m", None, 1),  # a run without a time is before all others
         (7, "other", 0.5, 1), (None, "m", 0.5, 1), (8, None, 0.5, 1), (9, "m", 0.2, 3), (9, "m", 0.4, 3),
     ]
     df = spark.createDataFrame(rows, "pair_id bigint, qe_model string, qe_score double, scored_at int")
     models = spark.createDataFrame([("m", True, 0.0, 1.0)], "qe_model string, higher_is_better boolean, min_score double, max_score double")
-    assert sorted((r.pair_id, r.qe_score) for r in scores.current_scores(df, models).collect()) == [(1, 0.7), (5, 1.0), (9, 0.4)]
-    assert scores.current_scores(df, models, "M ").count() == 3 and scores.current_scores(df.filter("false"), models).count() == 0
+    assert sorted((r.pair_id, r.qe_score) for r in scores.current_scores(df, models).collect()) == [(1, 0.7), (5, 1.0), (9, 0.4), (10, 0.3)]
+    assert scores.current_scores(df, models, "M ").count() == 4 and scores.current_scores(df.filter("false"), models).count() == 0
 
 
 # --- caps -------------------------------------------------------------------------------------------------------------
@@ -86,8 +94,9 @@ def greedy(records, caps):
     return kept
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_caps(spark, seed):
+@pytest.mark.parametrize("seed, tail", [(1, 0), (2, 0), (3, 0), (1, 60)])
+def test_caps(spark, monkeypatch, seed, tail):
+    monkeypatch.setattr(capping, "TAIL_EDGES", tail)  # 0: rounds to the end
     rnd = random.Random(seed)
     names = ["hot", "hot", "hot", "b", "c", "d", "e", None]
     records = [(i, None if i == 7 else rnd.choices(names, k=rnd.choice([0, 1, 1, 2, 3])), rnd.choice([None, float("nan"), float("inf"), float("-inf"), 0.1, 0.5, 0.5, round(rnd.random(), 2)])) for i in range(250)]
@@ -98,6 +107,16 @@ def test_caps(spark, seed):
     assert {i for i, k in got.items() if k} == greedy(records, caps) and len(got) == 250
 
 
+def test_chain(spark):
+    """Each record waits for the next better one, so rounds alone would settle one link each."""
+    records = [(i, [f"c{i}", f"c{i + 1}"], float(i)) for i in range(400)]
+    caps = {f"c{i}": 1 for i in range(401)}
+    df = spark.createDataFrame(records, "id bigint, who array<string>, q double")
+    limits = spark.createDataFrame(list(caps.items()), "contributor string, cap int")
+    got = {r.id for r in capping.cap_contributors(df, limits, "id", "who", "q").filter("kept").collect()}
+    assert got == greedy(records, caps) and len(got) == 200
+
+
 def test_caps_edges(spark):
     df = spark.createDataFrame([(i, ["a"], None) for i in range(10)], "id bigint, who array<string>, q double")
     cap = lambda n: spark.createDataFrame([("a", n)], "contributor string, cap int")
@@ -158,6 +177,17 @@ def test_rank_ties(spark):
 
 
 # --- mixing -----------------------------------------------------------------------------------------------------------
+@pytest.mark.parametrize("rate, cap", [(0.5, 1), (4.5, 5), (900.0, 1000), (999.0, 1000), (3.0, 5000), (4900.0, 5000)])
+def test_large_caps(spark, rate, cap):
+    below = mixing.truncated_cdf(rate, cap)
+    assert len(below) == cap and cap - sum(below) == pytest.approx(rate, rel=1e-9)
+    plan = spark.createDataFrame([("D", "t", "x", rate, cap)], "dataset string, target_pair string, source_pair string, rate double, max_repeat int")
+    records = spark.range(20_000).select(F.lit("x").alias("source_pair"), F.col("id").alias("record_id"), F.lit(1).alias("size"))
+    drawn = mixing.replicate(records, plan).agg(F.avg("copies").alias("m"), F.max("copies").alias("most")).first()
+    assert drawn.m == pytest.approx(rate, rel=0.01) or rate < 5 and drawn.m == pytest.approx(rate, rel=0.03)
+    assert drawn.most <= cap
+
+
 @pytest.mark.parametrize("rate, cap", [(0.0, 3), (0.2, 1), (0.7, 3), (2.9, 3), (2.9999, 3), (3.0, 3), (5.0, 3), (0.001, 5), (40.0, 50), (0.5, 0)])
 def test_truncated_poisson(rate, cap):
     below = mixing.truncated_cdf(rate, cap)

@@ -2,6 +2,7 @@
 
 import pytest
 from oracle import compare
+from test_algorithms import greedy
 
 import __spark_entry__ as entry
 from corpusloom.llm import queries
@@ -53,3 +54,27 @@ def test_leaks_and_pieces(spark, sf):
 def test_mix(spark, sf):
     report = queries.p5_report(spark, sf)
     assert queries.p5_method(spark, sf).count() == report.agg({"actual_records": "sum"}).first()[0]
+
+def test_best_path_totals(spark, sf):
+    sizes = queries.p1_method(spark, sf).toPandas()
+    key = sizes.columns[-1]
+    documents = sizes[sizes.iloc[:, 0] == "documents"][key].sum()
+    slices = queries.QUERIES["p1_method_slices"](spark, sf).toPandas().groupby("slice")["n_tokens"].sum()
+    assert len(slices) == 3 and (slices == documents).all()
+    pairs = queries.QUERIES["p1_method_source_pairs"](spark, sf).toPandas().drop_duplicates("source_pair")
+    assert pairs["held_tokens"].sum() == sizes[key].sum() - documents
+
+
+def test_capped_contributors(spark, sf):
+    """Three contributors a pair, against taking pairs one by one in order of quality."""
+    records, decided = queries._several(spark, sf)
+    rows = [(r.pair_id, r.contributors, r.score) for r in records.collect()]
+    assert sum(len(c) > 1 for _, c, _ in rows) > 0.9 * len(rows)
+    caps = {c: len(rows) * (4 if c.startswith("corpus:") else 10) // 100 for _, cs, _ in rows for c in cs}
+    gone = {i for i, _, _ in rows} - greedy(rows, caps)
+    assert {r.pair_id for r in decided.filter("not kept").collect()} == gone and 0 < len(gone) < len(rows)
+    left = {}
+    for i, cs, _ in rows:
+        for c in cs if i not in gone else ():
+            left[c] = left.get(c, 0) + 1
+    assert all(n <= caps[c] for c, n in left.items())
