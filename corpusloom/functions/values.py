@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType
+from pyspark.sql.types import ArrayType, DoubleType, LongType
 
 from corpusloom.functions.text import SPACE, strip
 
@@ -121,13 +121,19 @@ def stable_uniform(seed: int, *columns: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 11) / F.lit(float(2**53))
 
 
+#: SplitMix64's increment, its shifts and multipliers, and its last shift.
+SPLITMIX_STEP, SPLITMIX_ROUNDS, SPLITMIX_END = 0x9E3779B97F4A7C15, ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)), 31
+
+
 def splitmix_uniform_np(offsets: np.ndarray, salt: int) -> np.ndarray:
-    """Uniform numbers of SplitMix64 at ``offsets`` behind ``salt``."""
+    """Uniform numbers in [0, 1) of 53 bits: SplitMix64's output at ``salt`` plus each offset, modulo 2**64."""
+    word = np.asarray(offsets).astype(np.uint64)
+    fold = lambda w, by: np.bitwise_xor(w, np.right_shift(w, np.uint64(by)))
     with np.errstate(over="ignore"):
-        x = offsets.astype(np.uint64) + np.uint64(salt) + np.uint64(0x9E3779B97F4A7C15)
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / 2**53
+        word = word + np.uint64((salt + SPLITMIX_STEP) % 2**64)
+        for by, factor in SPLITMIX_ROUNDS:
+            word = fold(word, by) * np.uint64(factor)
+    return np.ldexp(np.right_shift(fold(word, SPLITMIX_END), np.uint64(11)).astype(np.float64), -53)
 
 
 @cache
@@ -182,6 +188,13 @@ def cosine(a: Column, b: Column) -> Column:
     return clip(dot / (norm(a) * norm(b)), -1.0, 1.0)
 
 
+@F.arrow_udf(ArrayType(LongType()))
+def subword_ids(words: pa.Array, shortest: pa.Array, longest: pa.Array, buckets: pa.Array) -> pa.Array:
+    """``subword_buckets`` of a column; null for a null word."""
+    given = zip(words.to_pylist(), shortest.to_pylist(), longest.to_pylist(), buckets.to_pylist())
+    return pa.array([None if w is None else subword_buckets(w, a, b, n) for w, a, b, n in given], pa.list_(pa.int64()))
+
+
 def pair_checker(source_lang: Column, target_lang: Column, own: list[str]) -> Column:
     """Name of the classifier for a direction: ``full-<root>`` from English into a root that has its own, ``full-en-xx``
     for any other pair with English, ``none`` without it or without a code."""

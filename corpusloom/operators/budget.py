@@ -46,9 +46,9 @@ def allocate(quota: int, caps: list[int]) -> list[int]:
     return [a + b for a, b in zip(water_fill(min(quota, sum(caps)), caps), beyond)]
 
 
-def english_side(source_pair: str) -> bool | None:
+def english_side(source_pair: str | None) -> bool | None:
     """Whether English is the source of a pair; None if it is on neither side or the name is no pair."""
-    sides = source_pair.split("-")
+    sides = (source_pair or "").split("-")
     if len(sides) != 2 or "eng_Latn" not in sides:
         return None
     return sides[0] == "eng_Latn"

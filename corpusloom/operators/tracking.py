@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.operators.keys import join_groups
+
 
 def last_event(events: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The latest event of each key, whole; ties by the remaining columns. An aggregation, so hot keys combine early."""
@@ -64,3 +66,35 @@ def stale(jobs: DataFrame, started: str, expected_seconds: str, now: Column, mul
 def gpu_seconds(events: DataFrame, by: list[str]) -> DataFrame:
     """GPU seconds over all attempts: time times devices of every event that reports any."""
     return events.groupBy(*by).agg(F.sum(F.coalesce(F.col("gpu_seconds_delta") * F.col("gpu_count"), F.lit(0.0))).alias("gpu_seconds"))
+
+
+def pending_manifest(jobs: DataFrame, directions: DataFrame, direction: str, shard: str, statuses: list[str]) -> DataFrame:
+    """Jobs in one of the ``statuses`` with the languages of their direction and the range of rows ``start_idx`` up to
+    ``end_idx`` that the shard covers; jobs of directions that nobody knows are left out."""
+    open_ = jobs.filter(F.col("status").isin(*statuses)).select(direction, shard)
+    start = F.col(shard) * F.col("shard_size")
+    return open_.join(directions, direction).select(direction, shard, "src_lang", "tgt_lang", start.alias("start_idx"), (start + F.col("shard_size")).alias("end_idx"))
+
+
+def probe(wanted: DataFrame, done: DataFrame, group: list[str], item: list[str]) -> DataFrame:
+    """Per group: items requested, items done, requested ones that are missing, and done ones that nobody requested."""
+    a, b = (df.select(*group, *item).distinct().withColumn(flag, F.lit(True)) for df, flag in ((wanted, "_w"), (done, "_d")))
+    both = a.join(b, [*group, *item], "full_outer")
+    return both.groupBy(*group).agg(
+        F.count("_w").alias("n_requested"), F.count("_d").alias("n_done"), F.count_if(F.col("_w").isNotNull() & F.col("_d").isNull()).alias("n_missing"), F.count_if(F.col("_w").isNull()).alias("n_unrequested")
+    )
+
+
+def rate_windows(events: DataFrame, keys: list[str], time: str, seconds: int, block: int = 3600) -> DataFrame:
+    """``events`` with ``n``: the events of the same key in the ``seconds`` whole seconds up to and with their own.
+
+    Events are counted by second first. Windows run within blocks of time, each preceded by the end of the block before,
+    so that a key that has most events is spread over its blocks."""
+    second = F.unix_timestamp(time)
+    counted = events.groupBy(*keys, second.alias("_s")).agg(F.count("*").alias("_c"))
+    own = F.floor(F.col("_s") / block)
+    both = F.when(F.pmod(F.col("_s"), F.lit(block)) > block - seconds, F.array(own, own + 1)).otherwise(F.array(own))
+    spread = counted.withColumn("_own", own).withColumn("_b", F.explode(both))
+    window = Window.partitionBy(*keys, "_b").orderBy("_s").rangeBetween(-(seconds - 1), 0)
+    sums = spread.withColumn("n", F.sum("_c").over(window)).filter("_b = _own").select(*keys, "_s", "n")
+    return join_groups(events.withColumn("_s", second), sums, [*keys, "_s"]).drop("_s")

@@ -2,36 +2,27 @@
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as T
 from corpusloom.functions import values as V
 from corpusloom.operators.scoring import score_pairs, trigram_scorer
+from corpusloom.plans.hash_sql import mixed
 from corpusloom.plans.registry import query
-from corpusloom.plans.views import FEATURES, PAIRS, WS, features, features_sql, pairs
+from corpusloom.plans.views import FEATURES, PAIRS, WS, alignments_sql, features, features_sql, pairs, repeats_sql, word_sql
 from corpusloom.session import spread, table
 from corpusloom.sources.readers import path_fields
 from corpusloom.sources.writers import flat
 
-_DENSE = "coalesce(regexp_matches({0}, '_({1})$'), false)".format("{0}", "|".join(T.NO_SPACE_SCRIPTS))
-
-
-def _word_sql(text: str, lang: str, name: str, mode: str) -> str:
-    words, dense = f"string_split_regex({text}, '[{WS}]+')", _DENSE.format(lang)
-    total = f"list_sum(list_transform({words}, lambda w: length(w)))"
-    avg = f"floor({total} / len({words}))" if mode == "compat" else f"{total} / len({words})"
-    return f"""CASE WHEN {text} IS NULL THEN NULL WHEN {dense} THEN length({text}) ELSE len({words}) END AS {name}_word_len,
-CASE WHEN {text} IS NULL THEN NULL WHEN {dense} THEN 1 ELSE list_max(list_transform({words}, lambda w: length(w))) END AS {name}_max_word_len,
-CASE WHEN {text} IS NULL THEN NULL WHEN {dense} THEN 1.0 ELSE {avg} END AS {name}_avg_word_len"""
-
-
 def _lengths_sql(mode: str) -> str:
     # In mode compat the target's language isn't looked at.
     lang = "NULL" if mode == "compat" else "tgt_lang"
     ratio = lambda a, b: f"{'floor' if mode == 'compat' else ''}(greatest({a}, {b})::DOUBLE / greatest(least({a}, {b}), 1))"
     return f"""WITH base AS (SELECT pair_id, ingested_at, length(source_text) AS src_char_len, length(target_text) AS trg_char_len,
-{_word_sql("source_text", "src_lang", "src", mode)}, {_word_sql("target_text", lang, "trg", mode)} FROM bitext)
+{word_sql("source_text", "src_lang", "src", mode)}, {word_sql("target_text", lang, "trg", mode)} FROM bitext)
 SELECT *, {ratio("src_char_len", "trg_char_len")} AS char_len_ratio, {ratio("src_word_len", "trg_word_len")} AS word_len_ratio FROM base"""
 
 
@@ -66,23 +57,23 @@ def text_flags(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", T.html_flag(t).alias("filter_html"), T.regex_flag(t, "[0-9]{4}").alias("filter_regex"))
 
 
-@query()
+@query(f"WITH {alignments_sql('bitext')} SELECT pair_id, coalesce(score_numerals, 0) AS score_numerals FROM bitext LEFT JOIN aligned ON a_s = source_text AND a_t = target_text")
 def numeral_scores(spark: SparkSession, d: str) -> DataFrame:
     return spread(table(spark, d, "bitext")).select("pair_id", T.numeral_score("source_text", "target_text").alias("score_numerals"))
 
 
-@query()
+@query(f"WITH {alignments_sql('bitext')} SELECT pair_id, coalesce(score_lcs_ratio, 0) AS score_lcs_ratio FROM bitext LEFT JOIN aligned ON a_s = source_text AND a_t = target_text")
 def lcs_ratios(spark: SparkSession, d: str) -> DataFrame:
     return spread(table(spark, d, "bitext")).select("pair_id", T.lcs_ratio("source_text", "target_text").alias("score_lcs_ratio"))
 
 
-@query()
+@query(f"WITH {alignments_sql('bitext')} SELECT pair_id, CASE WHEN coalesce(source_text, '') = '' AND coalesce(target_text, '') = '' THEN 1.0::DOUBLE ELSE coalesce(score_levenshtein, 0) END AS score_levenshtein FROM bitext LEFT JOIN aligned ON a_s = source_text AND a_t = target_text")
 def levenshtein_similarities(spark: SparkSession, d: str) -> DataFrame:
-    """By characters; DuckDB's distance counts bytes, so this is tested against brute force."""
+    """By characters; a null text counts as empty."""
     return spread(table(spark, d, "bitext")).select("pair_id", T.levenshtein_similarity(F.col("source_text"), F.col("target_text")).alias("score_levenshtein"))
 
 
-@query()
+@query(f"SELECT pair_id, CASE WHEN source_text IS NULL THEN 0 ELSE {repeats_sql('source_text')} END::INT AS score_repeat_src, CASE WHEN target_text IS NULL THEN 0 ELSE {repeats_sql('target_text')} END::INT AS score_repeat_trg FROM bitext")
 def repetition_scores(spark: SparkSession, d: str) -> DataFrame:
     return spread(table(spark, d, "bitext")).select("pair_id", T.repetition_score("source_text").alias("score_repeat_src"), T.repetition_score("target_text").alias("score_repeat_trg"))
 
@@ -216,7 +207,18 @@ def clock_seconds(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", V.seconds_of(F.date_format("ts", "HH:mm:ss")).cast("bigint").alias("seconds"))
 
 
-@query()
+#: Salts and shards of all pairs of the corpora's languages, by the standard library's BLAKE2b.
+_CODES = ["eng_Latn", "deu_Latn", "fra_Latn", "spa_Latn", "por_Latn", "fin_Latn", "swe_Latn", "rus_Cyrl", "ukr_Cyrl", "ell_Grek", "zho_Hans", "arb_Arab"]
+
+
+def _blake(text: str, size: int, order: str) -> int:
+    return int.from_bytes(blake2b(text.encode(), digest_size=size).digest(), order)
+
+
+_SALTS = "salts(lang_pair, salt, shard) AS (VALUES " + ", ".join(f"('{p}', {_blake(f'42:{p}:0', 8, 'little')}::UBIGINT, {_blake(p, 16, 'big') % 16}::BIGINT)" for p in (f"{a}-{b}" for a in _CODES for b in _CODES)) + ")"
+
+
+@query(f"WITH {PAIRS}, {_SALTS}, salted AS (SELECT pair_id, salt, shard FROM pairs LEFT JOIN salts USING (lang_pair)), {mixed('salted', 'drawn', 'salt', 'pair_id')} SELECT pair_id, u, shard FROM drawn")
 def row_uniforms(spark: SparkSession, d: str) -> DataFrame:
     """SplitMix64 uniforms and BLAKE2b shards of every pair, the same wherever the row is."""
     rows = pairs(spark, d).select("pair_id", "lang_pair")

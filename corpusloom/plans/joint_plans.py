@@ -9,10 +9,11 @@ from corpusloom.functions import text as T
 from corpusloom.functions.values import score_bin, splitmix_uniform, truth
 from corpusloom.operators import budget, joint, outlier, sampling
 from corpusloom.operators.dedup import keep_one
-from corpusloom.operators.keys import join_groups
+from corpusloom.operators.keys import join_table
 from corpusloom.operators.prefix import exact_quantiles
+from corpusloom.plans.hash_sql import hashed
 from corpusloom.plans.registry import query
-from corpusloom.plans.views import PAIRS, SCORES, WHOLE_FEATURES, pairs, predictions_sql, scores, truth_sql, whole_features, with_predictions
+from corpusloom.plans.views import FEATURES, PAIRS, SCORES, alignments_sql, features, pairs, predictions_sql, scores, truth_sql, with_predictions
 from corpusloom.session import spread, table
 from corpusloom.sources.writers import training_lines
 from corpusloom.storage import materialize
@@ -59,8 +60,8 @@ marked AS (SELECT *, least({_evidence_sql('src')}, {_evidence_sql('tgt')}) AS la
   | CASE WHEN sim IS NULL AND qe IS NULL THEN 8 ELSE 0 END AS reasons FROM base)"""
 
 
-def _base(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
-    """Each pair with its signals, its reasons for rejection and its language score; ``whole``: and those of the texts.
+def _base(spark: SparkSession, d: str) -> DataFrame:
+    """Each pair with its signals, its reasons for rejection and its language score.
 
     All that needs the texts is computed where they are read; what is shuffled to find each pair's first row and to join
     the scores are a few numbers a row."""
@@ -75,7 +76,7 @@ def _base(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
         "pair_id", "ingested_at", "lang_pair", "corpus", "src_lang", "tgt_lang", F.col("similarity_score").cast("double").alias("sim"), F.length(s).alias("src_chars"), F.length(t).alias("tgt_chars"),
         F.least(*evidence).alias("lang_score"), joint.text_reasons(s, t, F.col("src_lang"), F.col("tgt_lang"), F.col("same"), tuple(bad)).alias("text_reasons"),
         T.terminal_punctuation_score(s, t).alias("punct_score"), F.greatest(T.html_flag(s).cast("int"), T.html_flag(t).cast("int")).cast("double").alias("html"),
-        *([c.alias(n) for n, c in joint.text_signals(s, t, F.col("src_lang"), F.col("tgt_lang"), F.col("same")).items()] if whole else []),
+        *[c.alias(n) for n, c in joint.text_signals(s, t, F.col("src_lang"), F.col("tgt_lang"), F.col("same")).items()],
     )
     one = keep_one(local, ["pair_id"], ["ingested_at"]).drop("ingested_at")
     current = scores(spark, d)
@@ -100,52 +101,58 @@ def _mid(col: str, group: str) -> str:
 
 _RISK = lambda c: f"coalesce(least(greatest(({c} - 0.8) / (1 - 0.8::DOUBLE), 0), 1), 0)"
 _LIFT = lambda c: f"(0.05 + (1 - 0.05::DOUBLE) * {c})"
-_JOINT = rf"""{_SCORED}, ok AS (SELECT *, ln(greatest(src_chars, 1) / greatest(tgt_chars, 1)::DOUBLE) AS logratio, -({_PUNCT}) / ln(1 + greatest(least(src_chars, tgt_chars), 1)::DOUBLE) AS punct, {_HTML} AS html FROM marked WHERE reasons = 0),
-centred AS (SELECT *, round(abs(logratio - median(logratio) OVER (PARTITION BY lang_pair)), 9) AS away, round(punct, 9) AS punct9 FROM ok),
-ranked AS (SELECT *, {_mid('sim', 'lang_pair')} AS p, {_mid('qe', 'lang_pair')} AS q, {_mid('j', 'lang_pair')} AS jj, {_mid('away', 'lang_pair')} AS r_len, {_mid('punct9', 'lang_pair')} AS r_punct FROM centred),
-formed AS (SELECT *, least(greatest(1 - 0.7 * greatest({_RISK('r_len')}, {_RISK('r_punct')}, html) - 0.3 * ({_RISK('r_len')} + greatest({_RISK('r_punct')}, html)) / 5, 0.05), 1) AS h FROM ranked),
+_LETTERS = lambda c: f"length(regexp_replace({c}, '[^\\p{{L}}]', '', 'g'))"
+_WORDS = lambda c: f"list_transform(regexp_extract_all({c}, '[^{T.SPACE}]+'), lambda w: length(w))"
+_UNSPACED = "(" + ", ".join(f"'{x}'" for x in joint.NO_WORD_SCRIPTS) + ")"
+_ON = lambda side: f"split_part({side}_lang, '_', 2) NOT IN {_UNSPACED}"
+_JOINT = rf"""{_SCORED}, fine AS (SELECT * FROM marked WHERE reasons = 0), {alignments_sql('fine')},
+ok AS (SELECT m.*, ln(greatest(src_chars, 1) / greatest(tgt_chars, 1)::DOUBLE) AS logratio, -({_PUNCT}) / ln(1 + greatest(least(src_chars, tgt_chars), 1)::DOUBLE) AS punct, {_HTML} AS html,
+  CASE WHEN {_SAME} THEN 1.0::DOUBLE ELSE score_lcs_ratio END AS overlap, least({_LETTERS('source_text')}, {_LETTERS('target_text')}) AS letters, greatest(score_repeat_src, score_repeat_trg) AS repeats,
+  CASE WHEN score_numerals < 1 AND has_digits THEN 1 - score_numerals ELSE 0 END AS numbers, {_WORDS('source_text')} AS ws, {_WORDS('target_text')} AS wt
+  FROM fine m JOIN aligned a ON a.a_s = m.source_text AND a.a_t = m.target_text),
+measured AS (SELECT *, CASE WHEN overlap > 0.8 AND letters >= {joint.LEAST_COPY_LETTERS} THEN least(greatest((overlap - 0.8) / 0.2::DOUBLE, 0), 1) ELSE 0 END AS copy,
+  CASE WHEN {_ON('src')} AND {_ON('tgt')} THEN ln(greatest(len(ws), 1) / greatest(len(wt), 1)::DOUBLE) END AS word_logratio,
+  CASE WHEN {_ON('src')} THEN coalesce(list_sum(ws), 0) / greatest(len(ws), 1)::DOUBLE END AS src_mean_word, CASE WHEN {_ON('src')} THEN coalesce(list_max(ws), 0) END AS src_max_word,
+  CASE WHEN {_ON('tgt')} THEN coalesce(list_sum(wt), 0) / greatest(len(wt), 1)::DOUBLE END AS tgt_mean_word, CASE WHEN {_ON('tgt')} THEN coalesce(list_max(wt), 0) END AS tgt_max_word FROM ok),
+centred AS (SELECT *, round(abs(logratio - median(logratio) OVER (PARTITION BY lang_pair)), 9) AS away, round(abs(word_logratio - median(word_logratio) OVER (PARTITION BY lang_pair)), 9) AS word_away, round(punct, 9) AS punct9 FROM measured),
+ranked AS (SELECT *, {_mid('sim', 'lang_pair')} AS p, {_mid('qe', 'lang_pair')} AS q, {_mid('j', 'lang_pair')} AS jj, {_mid('away', 'lang_pair')} AS r_len, {_mid('punct9', 'lang_pair')} AS r_punct,
+  {_mid('word_away', 'lang_pair')} AS r_words, {_mid('repeats', 'lang_pair')} AS r_repeat, {", ".join(f"{_mid(f'{x}_{k}_word', 'lang_pair')} AS r_{x}_{k}" for x in ("src", "tgt") for k in ("mean", "max"))} FROM centred),
+risks AS (SELECT *, greatest({_RISK('r_len')}, {_RISK('r_words')}) AS k1, copy AS k2, {_RISK('r_repeat')} AS k3, numbers AS k4,
+  greatest({_RISK('r_punct')}, html, {", ".join(_RISK(f"r_{x}_{k}") for x in ("src", "tgt") for k in ("mean", "max"))}) AS k5 FROM ranked),
+formed AS (SELECT *, least(greatest(1 - 0.7 * greatest(k1, k2, k3, k4, k5) - 0.3 * (k1 + k2 + k3 + k4 + k5) / 5, 0.05), 1) AS h FROM risks),
 parts AS (SELECT *, coalesce({_LIFT('p')}, 0.05) AS vp, coalesce({_LIFT('q')}, 0.05) AS vq, CASE WHEN p IS NULL THEN 0 ELSE 0.35 * 0.75 END AS wp, CASE WHEN q IS NULL THEN 0 ELSE 0.35 * reliability END AS wq FROM formed),
 logged AS (SELECT *, (wp * ln(least(greatest(vp, 0.05), 1)) + wq * ln(least(greatest(vq, 0.05), 1)) + 0.2 * ln(least(greatest(h, 0.05), 1)) + 0.1 * ln(least(greatest(lang_score, 0.05), 1)))::DOUBLE / (wp + wq + 0.3) AS base,
   (vp < 0.2 AND wp > 0)::INT + (vq < 0.2 AND wq > 0)::INT + (h < 0.2)::INT + (lang_score < 0.2)::INT AS weak FROM parts),
-joint AS (SELECT pair_id, lang_pair, corpus, src_lang, tgt_lang, src_chars, tgt_chars, (jj IS NOT NULL)::INT AS llm_present,
-  exp(CASE WHEN jj IS NULL THEN base ELSE 0.8 * base + 0.2 * ln(least(greatest({_LIFT('jj')}, 0.05), 1)) END) * CASE WHEN weak >= 2 THEN 0.5 ELSE 1 END AS joint_score FROM logged)"""
+joint AS MATERIALIZED (SELECT pair_id, lang_pair, corpus, src_lang, tgt_lang, src_chars, tgt_chars, (jj IS NOT NULL)::INT AS llm_present,
+  exp(CASE WHEN jj IS NULL THEN base ELSE 0.8 * base + 0.2 * ln(least(greatest({_LIFT('jj')}, 0.05), 1)) END) * CASE WHEN weak >= 2 THEN 0.5 ELSE 1 END * CASE WHEN copy >= 0.9 AND lang_score < 0.4 THEN 0.25 ELSE 1 END AS joint_score FROM logged)"""
 
 
 #: What of the texts is calibrated by mid-ranks, besides lengths and punctuation.
 _TEXT_RANKS = {"word_away": "r_words", "repeats": "r_repeat", **{f"{x}_{k}_word": f"r_{x}_{k}" for x in ("src", "tgt") for k in ("mean", "max")}}
 
 
-def _joint(spark: SparkSession, d: str, whole: bool = True) -> DataFrame:
-    """Joint scores of the rows that aren't rejected. Distributions are calibrated on all rows of a language pair.
-
-    Not ``whole``: without copies, repetitions, numbers and words, as the SQL has it."""
-    rows = _base(spark, d, whole).filter("reasons = 0")
+def _joint(spark: SparkSession, d: str) -> DataFrame:
+    """Joint scores of the rows that aren't rejected. Distributions are calibrated on all rows of a language pair."""
+    rows = _base(spark, d).filter("reasons = 0")
     rows = rows.withColumn("logratio", F.ln(F.greatest("src_chars", F.lit(1)) / F.greatest("tgt_chars", F.lit(1)).cast("double")))
     rows = materialize(rows.withColumn("punct9", F.round(-F.col("punct_score") / F.log1p(F.greatest(F.least("src_chars", "tgt_chars"), F.lit(1)).cast("double")), 9)), "joint")
-    for value, away in [("logratio", "away"), *([("word_logratio", "word_away")] if whole else [])]:
-        centre = exact_quantiles(rows, ["lang_pair"], value, {"centre": 0.5})
-        rows = join_groups(rows, centre, ["lang_pair"], "left").withColumn(away, F.round(F.abs(F.col(value) - F.col("centre")), 9)).drop("centre")
-    rows = joint.mid_ranks_of(rows, "pair_id", ["lang_pair"], {"sim": "p", "qe": "q", "j": "jj", "away": "r_len", "punct9": "r_punct"} | (_TEXT_RANKS if whole else {}))
-    zero = F.lit(0.0)
+    # Both centres in one pass over the long form.
+    long = rows.select("lang_pair", "logratio", "word_logratio").unpivot(["lang_pair"], ["logratio", "word_logratio"], "f", "v")
+    centres = exact_quantiles(long, ["lang_pair", "f"], "v", {"centre": 0.5})
+    wide = centres.groupBy("lang_pair").agg(*[F.max(F.when(F.col("f") == f, F.col("centre"))).alias(f"{f}_centre") for f in ("logratio", "word_logratio")])
+    rows = join_table(rows, wide, ["lang_pair"], "left")
+    for value, away in (("logratio", "away"), ("word_logratio", "word_away")):
+        rows = rows.withColumn(away, F.round(F.abs(F.col(value) - F.col(f"{value}_centre")), 9)).drop(f"{value}_centre")
+    rows = joint.mid_ranks_of(rows, "pair_id", ["lang_pair"], {"sim": "p", "qe": "q", "j": "jj", "away": "r_len", "punct9": "r_punct"} | _TEXT_RANKS)
     risk = lambda c: joint.tail_risk(F.col(c))
-    length, structure = [risk("r_len")], [risk("r_punct"), F.col("html")]
-    copy = repeat = numbers = zero
-    if whole:
-        length, copy, repeat, numbers = [*length, risk("r_words")], F.col("copy"), risk("r_repeat"), F.col("numbers")
-        structure += [risk(r) for c, r in _TEXT_RANKS.items() if c.endswith("_word")]
-    h = joint.form_score(F.greatest(*length) if whole else length[0], copy, repeat, numbers, F.greatest(*structure))
-    score = joint.joint_score(F.col("p"), F.col("q"), h, F.col("lang_score"), F.col("reliability"), F.lit(None).cast("double"), F.col("jj"), copy)
+    structure = [risk("r_punct"), F.col("html"), *[risk(r) for c, r in _TEXT_RANKS.items() if c.endswith("_word")]]
+    h = joint.form_score(F.greatest(risk("r_len"), risk("r_words")), F.col("copy"), risk("r_repeat"), F.col("numbers"), F.greatest(*structure))
+    score = joint.joint_score(F.col("p"), F.col("q"), h, F.col("lang_score"), F.col("reliability"), F.lit(None).cast("double"), F.col("jj"), F.col("copy"))
     return rows.select("pair_id", "lang_pair", "corpus", "src_lang", "tgt_lang", "src_chars", "tgt_chars", F.col("jj").isNotNull().cast("int").alias("llm_present"), score.alias("joint_score"))
 
 
 @query(f"WITH {_JOINT} SELECT * FROM joint")
 def joint_scores(spark: SparkSession, d: str) -> DataFrame:
-    return _joint(spark, d, whole=False)
-
-
-@query()
-def whole_joint_scores(spark: SparkSession, d: str) -> DataFrame:
-    """With copies, repetitions, numbers and words, for which DuckDB has no expression."""
     return _joint(spark, d)
 
 
@@ -153,18 +160,13 @@ _BIN = f"least(floor(least(greatest(round(joint_score, 9), 0), 1) * {BINS}), {BI
 _HIST = f"{_JOINT}, hist AS (SELECT lang_pair, llm_present, {_BIN} AS bin, count(*) AS rows, CAST(sum(src_chars + tgt_chars) AS BIGINT) AS tokens FROM joint GROUP BY 1, 2, 3)"
 
 
-def _rounded(spark: SparkSession, d: str, whole: bool = True) -> DataFrame:
-    rows = _joint(spark, d, whole).withColumn("joint_score", F.round("joint_score", 9)).withColumn("size", (F.col("src_chars") + F.col("tgt_chars")).cast("bigint"))
+def _rounded(spark: SparkSession, d: str) -> DataFrame:
+    rows = _joint(spark, d).withColumn("joint_score", F.round("joint_score", 9)).withColumn("size", (F.col("src_chars") + F.col("tgt_chars")).cast("bigint"))
     return materialize(rows, "scored")
 
 
 @query(f"WITH {_HIST} SELECT * FROM hist")
 def joint_histogram(spark: SparkSession, d: str) -> DataFrame:
-    return joint.score_histogram(_rounded(spark, d, whole=False), ["lang_pair", "llm_present"], "joint_score", "size", BINS)
-
-
-@query()
-def whole_joint_histogram(spark: SparkSession, d: str) -> DataFrame:
     return joint.score_histogram(_rounded(spark, d), ["lang_pair", "llm_present"], "joint_score", "size", BINS)
 
 
@@ -181,7 +183,7 @@ def _budgets(hist: DataFrame) -> DataFrame:
 
 @query(f"WITH {_BUDGET} SELECT * FROM budgets")
 def token_budgets(spark: SparkSession, d: str) -> DataFrame:
-    hist = materialize(joint.score_histogram(_rounded(spark, d, whole=False), ["lang_pair", "llm_present"], "joint_score", "size", BINS), "hist")
+    hist = materialize(joint.score_histogram(_rounded(spark, d), ["lang_pair", "llm_present"], "joint_score", "size", BINS), "hist")
     return _budgets(hist)
 
 
@@ -202,21 +204,11 @@ def _boundaries(rows: DataFrame) -> DataFrame:
 
 @query(f"WITH {_BOUNDARY} SELECT * FROM boundaries")
 def budget_boundaries(spark: SparkSession, d: str) -> DataFrame:
-    return _boundaries(_rounded(spark, d, whole=False))
-
-
-@query()
-def whole_budget_boundaries(spark: SparkSession, d: str) -> DataFrame:
     return _boundaries(_rounded(spark, d))
 
 
 @query(f"""WITH {_BOUNDARY} SELECT j.lang_pair, count(*) FILTER ({_BIN} > boundary_bin) AS n_above, count(*) FILTER ({_BIN} = boundary_bin) AS n_at FROM joint j JOIN boundaries b ON b.lang_pair = j.lang_pair AND b.llm_present = j.llm_present GROUP BY 1""")
 def boundary_counts(spark: SparkSession, d: str) -> DataFrame:
-    return _boundary_counts(_rounded(spark, d, whole=False))
-
-
-@query()
-def whole_boundary_counts(spark: SparkSession, d: str) -> DataFrame:
     return _boundary_counts(_rounded(spark, d))
 
 
@@ -251,7 +243,7 @@ def selection_rollups(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {_JOINT}, langs AS (SELECT DISTINCT pair_id, unnest([src_lang, tgt_lang]) AS language, src_chars + tgt_chars AS size FROM joint)
 SELECT language, count(*) AS n_rows, CAST(sum(size) AS BIGINT) AS chars FROM langs GROUP BY 1""")
 def language_rollup(spark: SparkSession, d: str) -> DataFrame:
-    return joint.language_rollup(_joint(spark, d, whole=False), "src_lang", "tgt_lang", {"n_rows": F.count("*"), "chars": F.sum((F.col("src_chars") + F.col("tgt_chars")).cast("bigint"))})
+    return joint.language_rollup(_joint(spark, d), "src_lang", "tgt_lang", {"n_rows": F.count("*"), "chars": F.sum((F.col("src_chars") + F.col("tgt_chars")).cast("bigint"))})
 
 
 @query()
@@ -263,8 +255,8 @@ def fitted_cdfs(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def outlier_filter(spark: SparkSession, d: str) -> DataFrame:
     """Inliers of each language pair's own isolation forest over all features."""
-    rows = materialize(whole_features(spark, d), "features")
-    scored = outlier.score_by_group(rows, "lang_pair", WHOLE_FEATURES, ["pair_id", "ingested_at"])
+    rows = materialize(features(spark, d), "features")
+    scored = outlier.score_by_group(rows, "lang_pair", FEATURES, ["pair_id", "ingested_at"])
     return scored.filter("not is_outlier").select("pair_id", "lang_pair", "anomaly")
 
 
@@ -275,12 +267,12 @@ def sample_sizes(spark: SparkSession, d: str) -> DataFrame:
     return sampling.sample_k(pairs(spark, d), ["lang_pair"], 25, 7, "pair_id", "ingested_at").groupBy("lang_pair").agg(F.count("*").alias("n"))
 
 
-@query()
+@query(f"WITH {PAIRS}, {hashed('pairs', 'drawn', 7, 'pair_id', 'epoch_us(ingested_at)')} SELECT pair_id, lang_pair FROM drawn QUALIFY row_number() OVER (PARTITION BY lang_pair ORDER BY u, pair_id, ingested_at) <= 25")
 def sample_k(spark: SparkSession, d: str) -> DataFrame:
     return sampling.sample_k(pairs(spark, d), ["lang_pair"], 25, 7, "pair_id", "ingested_at").select("pair_id", "lang_pair")
 
 
-@query()
+@query(f"WITH {hashed('bitext', 'drawn', 3, 'pair_id', 'epoch_us(ingested_at)')} SELECT pair_id FROM drawn WHERE u < 0.1")
 def fraction_sample(spark: SparkSession, d: str) -> DataFrame:
     return sampling.fraction_sample(table(spark, d, "bitext"), 0.1, 3, "pair_id", "ingested_at").select("pair_id")
 
@@ -309,7 +301,13 @@ def quality_weights(spark: SparkSession, d: str) -> DataFrame:
     return _weights(spark, d).select("pair_id", "log_weight")
 
 
-@query()
+@query(f"""WITH {_LOGW}, target AS (SELECT count(*) // 10 AS t FROM w),
+hist AS (SELECT least(floor(log_weight / 6.0::DOUBLE * {sampling.WEIGHT_BINS}), {sampling.WEIGHT_BINS - 1}) AS bin, count(*) AS n, avg(exp(log_weight)) AS x FROM w GROUP BY 1),
+steps AS (SELECT x, n, coalesce(sum(n) OVER (ORDER BY x DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above, sum(x * n) OVER (ORDER BY x DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest FROM hist),
+scale AS (SELECT first((t - above) / rest ORDER BY x DESC) AS k FROM steps, target WHERE (t - above) / rest * x <= 1 + 1e-12),
+chances AS (SELECT pair_id, least(1.0::DOUBLE, exp(log_weight) * k) AS probability FROM w, scale),
+summed AS (SELECT *, round(probability * 1e9)::BIGINT AS p9, sum(round(probability * 1e9)::BIGINT) OVER (ORDER BY pair_id)::BIGINT AS to_here FROM chances)
+SELECT pair_id, probability FROM summed WHERE floor(to_here / 1e9::DOUBLE - 0.5) > floor((to_here - p9) / 1e9::DOUBLE - 0.5)""")
 def systematic_sample(spark: SparkSession, d: str) -> DataFrame:
     """A tenth of all pairs, better and longer ones preferred."""
     rows = materialize(_weights(spark, d).withColumn("all", F.lit(1)), "weights")
@@ -317,20 +315,32 @@ def systematic_sample(spark: SparkSession, d: str) -> DataFrame:
     return sampling.systematic_sample(chosen, ["all"], [F.col("pair_id")], "probability").select("pair_id", "probability")
 
 
-@query()
+@query(f"""WITH {PAIRS}, {hashed('pairs', 'drawn', 11, 'pair_id', 'epoch_us(ingested_at)')}, rated AS (SELECT lang_pair, u, 150 / (count(*) OVER (PARTITION BY lang_pair))::DOUBLE AS rate FROM drawn WHERE lang_pair IS NOT NULL),
+copied AS (SELECT lang_pair, floor(rate)::INT + (u < rate - floor(rate))::INT AS copies FROM rated) SELECT lang_pair, sum(copies)::BIGINT AS n_copies, max(copies)::INT AS most FROM copied WHERE copies > 0 GROUP BY 1""")
 def upsampled(spark: SparkSession, d: str) -> DataFrame:
     rows = pairs(spark, d).filter("lang_pair is not null").select("pair_id", "ingested_at", "lang_pair")
     targets = rows.select("lang_pair").distinct().withColumn("target", F.lit(150))
     return sampling.repeat_to(rows, ["lang_pair"], targets, 11, "pair_id", "ingested_at").groupBy("lang_pair").agg(F.count("*").alias("n_copies"), F.max("copy_no").alias("most"))
 
 
-@query()
+@query("SELECT DISTINCT sample_id, corpus, version FROM eval_sample")
 def shuffled_samples(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "eval_sample").select("sample_id", "corpus", "version").distinct()
     return sampling.shuffled(rows, 13, "sample_id")
 
 
-@query()
+@query(r"""WITH src AS (SELECT dataset, target_pair, source_pair, coalesce(n_lines, 0) AS n_lines, coalesce(total_tokens, 0) AS total_tokens FROM source_plan
+  QUALIFY row_number() OVER (PARTITION BY dataset, target_pair, source_pair ORDER BY planned_at DESC NULLS LAST, coalesce(n_lines, 0) DESC, coalesce(total_tokens, 0) DESC) = 1),
+q AS (SELECT dataset, target_pair, max(quota) AS quota FROM pair_plan GROUP BY 1, 2),
+j AS (SELECT src.*, quota, CASE WHEN len(string_split(source_pair, '-')) = 2 AND list_contains(string_split(source_pair, '-'), 'eng_Latn') THEN string_split(source_pair, '-')[1] = 'eng_Latn' END AS eng_is_source FROM src JOIN q USING (dataset, target_pair) WHERE quota IS NOT NULL),
+marked AS (SELECT *, CASE WHEN eng_is_source IS NULL THEN 'no eng side' WHEN NOT (n_lines > 0 AND total_tokens > 0) THEN 'empty stats' END AS warning FROM j),
+good AS (SELECT *, total_tokens::HUGEINT AS cap, row_number() OVER (g ORDER BY total_tokens, source_pair) - 1 AS k, count(*) OVER g AS n, sum(total_tokens::HUGEINT) OVER g AS whole, coalesce(sum(total_tokens::HUGEINT) OVER (g ORDER BY total_tokens, source_pair ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS poured
+  FROM marked WHERE warning IS NULL WINDOW g AS (PARTITION BY dataset, target_pair)),
+filled AS (SELECT *, poured + cap * (n - k) <= least(quota, whole) AS is_full, greatest(quota - whole, 0) AS extra FROM good),
+level AS (SELECT *, sum(is_full::INT) OVER g AS n_full, greatest(least(quota, whole) - coalesce(sum(cap) FILTER (is_full) OVER g, 0), 0) AS rest, extra * cap // greatest(whole, 1) AS units, extra * cap % greatest(whole, 1) AS remainder FROM filled WINDOW g AS (PARTITION BY dataset, target_pair)),
+shares AS (SELECT *, CASE WHEN is_full THEN cap ELSE rest // (n - n_full) + (k - n_full >= (n - n_full) - rest % (n - n_full))::INT END + units + (row_number() OVER (g ORDER BY remainder DESC, source_pair) <= extra - sum(units) OVER g)::INT AS alloc FROM level WINDOW g AS (PARTITION BY dataset, target_pair))
+SELECT m.dataset, m.target_pair, m.source_pair, s.alloc::BIGINT AS alloc_tokens, round_even(s.alloc / (m.total_tokens / m.n_lines::DOUBLE), 0)::BIGINT AS rows_to_sample, m.eng_is_source, m.warning
+FROM marked m LEFT JOIN shares s ON s.dataset = m.dataset AND s.target_pair = m.target_pair AND s.source_pair = m.source_pair""")
 def extraction_plan(spark: SparkSession, d: str) -> DataFrame:
     """Allocations of the sources of every dataset under its quotas."""
     sources = table(spark, d, "source_plan").groupBy("dataset", "target_pair", "source_pair").agg(F.max(F.struct("planned_at", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce("total_tokens", F.lit(0)).alias("total_tokens"))).alias("r"))

@@ -14,13 +14,12 @@ from corpusloom.session import spread, table
 from corpusloom.sources.readers import majority_script, normalised_code
 
 _NAMES = {"Arab": "Arabic", "Cyrl": "Cyrillic", "Deva": "Devanagari", "Grek": "Greek", "Hang": "Hangul", "Hani": "Han", "Hebr": "Hebrew", "Latn": "Latin", "Thai": "Thai"}
-_SCRIPTS = f"""firsts AS (SELECT * FROM (SELECT lang, text, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS k FROM documents) WHERE k <= 100),
-sums AS (SELECT lang, {", ".join(f"sum(length(coalesce(text, '')) - length(regexp_replace(coalesce(text, ''), '\\p{{{n}}}', '', 'g'))) AS {c}" for c, n in _NAMES.items())}, sum(length(regexp_replace(coalesce(text, ''), '[^\\p{{L}}]', '', 'g'))) AS letters FROM firsts GROUP BY 1),
+_SCRIPTS = f"""sums AS (SELECT lang, {", ".join(f"sum(length(coalesce(text, '')) - length(regexp_replace(coalesce(text, ''), '\\p{{{n}}}', '', 'g'))) AS {c}" for c, n in _NAMES.items())}, sum(length(regexp_replace(coalesce(text, ''), '[^\\p{{L}}]', '', 'g'))) AS letters FROM documents GROUP BY 1),
 scripts AS (SELECT lang, CASE WHEN greatest({", ".join(_NAMES)}) = 0 THEN 'Zyyy' {" ".join(f"WHEN {c} = greatest({', '.join(_NAMES)}) THEN '{c}'" for c in _NAMES)} END AS script, greatest({", ".join(_NAMES)}) / nullif(letters, 0)::DOUBLE AS share FROM sums)"""
 
 
-def _scripts(spark: SparkSession, d: str, texts: int | None = None) -> DataFrame:
-    return majority_script(spread(table(spark, d, "documents").select("lang", "text", "doc_id")), ["lang"], "text", ["doc_id"], texts)
+def _scripts(spark: SparkSession, d: str) -> DataFrame:
+    return majority_script(spread(table(spark, d, "documents").select("lang", "text", "doc_id")), ["lang"], "text", ["doc_id"])
 
 
 def _codes(scripts: DataFrame) -> DataFrame:
@@ -29,23 +28,12 @@ def _codes(scripts: DataFrame) -> DataFrame:
 
 @query(f"WITH {_SCRIPTS} SELECT * FROM scripts")
 def script_detection(spark: SparkSession, d: str) -> DataFrame:
-    """Script of the first 100 texts of each label."""
-    return _scripts(spark, d, 100)
-
-
-@query()
-def whole_script_detection(spark: SparkSession, d: str) -> DataFrame:
     """Script of all texts of each label."""
     return _scripts(spark, d)
 
 
 @query(f"""WITH {_SCRIPTS} SELECT lang, CASE WHEN lang = 'en' THEN 'eng_Latn' WHEN regexp_matches(lang, '^[a-z]{{3}}_[A-Z][a-z]{{3}}$') THEN lang WHEN regexp_matches(lang, '^[a-z]{{3}}$') THEN lang || '_' || script ELSE 'und_Zyyy' END AS code FROM scripts""")
 def normalised_codes(spark: SparkSession, d: str) -> DataFrame:
-    return _codes(_scripts(spark, d, 100))
-
-
-@query()
-def whole_normalised_codes(spark: SparkSession, d: str) -> DataFrame:
     return _codes(_scripts(spark, d))
 
 

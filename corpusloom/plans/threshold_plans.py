@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators import lid, stats
 from corpusloom.operators import thresholds as th
 from corpusloom.plans.registry import query
-from corpusloom.plans.views import FEATURES, LID_PRIMES, PAIRS, features, features_sql, pairs, predictions, predictions_sql, scores, SCORES, WHOLE_FEATURES, whole_features
+from corpusloom.plans.views import FEATURES, LID_PRIMES, PAIRS, features, features_sql, pairs, predictions, predictions_sql, scores, SCORES
 from corpusloom.session import table
 from corpusloom.storage import materialize
 
@@ -19,7 +19,7 @@ eda AS (SELECT lang_pair, feature, count(value) AS count, count(*) - count(value
 
 
 def _eda(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    rows = materialize(features(spark, d).drop("source_text", "target_text"), "features")
+    rows = materialize(features(spark, d), "features")
     return rows, stats.describe(rows, ["lang_pair"], FEATURES)
 
 
@@ -38,19 +38,15 @@ def flag_rates(spark: SparkSession, d: str) -> DataFrame:
     return stats.flag_rates(features(spark, d), ["lang_pair"], ["filter_html_src", "filter_html_trg"])
 
 
-_RANKED = ["src_char_len", "trg_char_len", "score_term_punct"]
-
-
-@query(f"""WITH {features_sql()}, ranked AS (SELECT lang_pair, {", ".join(f"rank() OVER (PARTITION BY lang_pair ORDER BY {f}) + (count(*) OVER (PARTITION BY lang_pair, {f}) - 1) / 2.0::DOUBLE AS r_{f}" for f in _RANKED)} FROM feats)
+@query(f"""WITH {features_sql()}, ranked AS (SELECT lang_pair, {", ".join(f"rank() OVER (PARTITION BY lang_pair ORDER BY {f}) + (count(*) OVER (PARTITION BY lang_pair, {f}) - 1) / 2.0::DOUBLE AS r_{f}" for f in FEATURES)} FROM feats)
 """ + " UNION ALL ".join(f"SELECT lang_pair, '{a}' AS feature_a, '{b}' AS feature_b, CASE WHEN stddev_pop(r_{a}) > 0 AND stddev_pop(r_{b}) > 0 THEN corr(r_{a}, r_{b}) END AS correlation FROM ranked GROUP BY 1"
-                         for i, a in enumerate(_RANKED) for b in _RANKED[i:]))
+                         for i, a in enumerate(FEATURES) for b in FEATURES[i:]))
 def feature_spearman(spark: SparkSession, d: str) -> DataFrame:
-    out = stats.spearman(features(spark, d), ["lang_pair"], _RANKED)
-    return out.withColumn("correlation", F.nanvl("correlation", F.lit(None).cast("double")))
+    return stats.spearman(features(spark, d), ["lang_pair"], FEATURES)
 
 
 _LOW = " ".join(f"WHEN '{f}' THEN {0.0 if a is None else a}" for f, (a, b) in th.SAFEGUARDS.items())
-_HIGH = " ".join(f"WHEN '{f}' THEN {b}" for f, (a, b) in th.SAFEGUARDS.items() if b is not None)
+_HIGH = " ".join(f"WHEN '{f}' THEN {b}" for f, (a, b) in th.SAFEGUARDS.items() if b is not None) + " ELSE 'inf'::DOUBLE"
 _BOUNDS = f"""{_EDA}, bounds AS (SELECT lang_pair, feature,
 CASE WHEN feature NOT IN {th.UPPER_ONLY} THEN least(p001, mean - 4 * std, CASE feature {_LOW} END::DOUBLE) END AS lower,
 CASE WHEN feature NOT IN {th.LOWER_ONLY} THEN greatest(p999, mean + 4 * std, CASE feature {_HIGH} END::DOUBLE) END AS upper FROM eda)"""
@@ -104,64 +100,6 @@ def _totals(kept: DataFrame) -> DataFrame:
     )
 
 
-# --- all features -----------------------------------------------------------------------------------------------------
-def _whole_eda(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    rows = materialize(whole_features(spark, d), "features")
-    return rows, stats.describe(rows, ["lang_pair"], WHOLE_FEATURES)
-
-
-def _whole_stage1(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    rows, summary = _whole_eda(spark, d)
-    bounds = th.eda_bounds(summary, ["lang_pair"])
-    return rows, th.within_bounds(rows, bounds, ["lang_pair"], WHOLE_FEATURES, ["filter_html_src", "filter_html_trg"])
-
-
-@query()
-def whole_pair_features(spark: SparkSession, d: str) -> DataFrame:
-    return whole_features(spark, d).select("pair_id", "ingested_at", *WHOLE_FEATURES, "filter_html_src", "filter_html_trg")
-
-
-@query()
-def whole_eda_describe(spark: SparkSession, d: str) -> DataFrame:
-    return _whole_eda(spark, d)[1]
-
-
-@query()
-def whole_eda_pooled(spark: SparkSession, d: str) -> DataFrame:
-    return stats.pooled(_whole_eda(spark, d)[1])
-
-
-@query()
-def whole_eda_bounds(spark: SparkSession, d: str) -> DataFrame:
-    return th.eda_bounds(_whole_eda(spark, d)[1], ["lang_pair"])
-
-
-@query()
-def whole_feature_spearman(spark: SparkSession, d: str) -> DataFrame:
-    out = stats.spearman(materialize(whole_features(spark, d), "features"), ["lang_pair"], WHOLE_FEATURES)
-    return out.withColumn("correlation", F.nanvl("correlation", F.lit(None).cast("double")))
-
-
-@query()
-def whole_stage1_filter(spark: SparkSession, d: str) -> DataFrame:
-    return _whole_stage1(spark, d)[1].select("pair_id", "ingested_at", "lang_pair", *WHOLE_FEATURES)
-
-
-@query()
-def whole_retention_by_pair(spark: SparkSession, d: str) -> DataFrame:
-    return th.retention(*_whole_stage1(spark, d), ["lang_pair"])
-
-
-@query()
-def whole_worst_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return whole_retention_by_pair(spark, d).orderBy("kept_fraction", "lang_pair").limit(5)
-
-
-@query()
-def whole_retention_totals(spark: SparkSession, d: str) -> DataFrame:
-    return _totals(whole_retention_by_pair(spark, d))
-
-
 # --- score thresholds -------------------------------------------------------------------------------------------------
 _Q = ", ".join(f"quantile_cont(similarity_score::DOUBLE, {p}) AS {n}" for n, p in stats.SCORE_QUANTILES.items())
 _SIM = f"""{PAIRS}, sims AS (SELECT lang_pair, count(*) AS n_rows, count(similarity_score) AS n_scored, avg(similarity_score::DOUBLE) AS mean, stddev_pop(similarity_score::DOUBLE) AS std,

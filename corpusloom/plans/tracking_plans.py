@@ -74,11 +74,11 @@ def complete_directions(spark: SparkSession, d: str) -> DataFrame:
     return tr.complete_groups(t, t.filter("event = 'done'"), ["direction_key"], ["shard_id"])
 
 
-@query(f"WITH {_STATE} SELECT DISTINCT direction_key FROM state s WHERE NOT EXISTS (SELECT 1 FROM state o WHERE o.direction_key = s.direction_key AND o.event <> 'done' AND o.shard_id % 10 = 0)")
+@query(f"WITH {_STATE} SELECT DISTINCT direction_key FROM state s WHERE NOT EXISTS (SELECT 1 FROM state o WHERE o.direction_key = s.direction_key AND o.event = 'failed' AND o.shard_id % 25 = 0)")
 def directions_without_open_work(spark: SparkSession, d: str) -> DataFrame:
-    """Every tenth shard decides."""
+    """A failure of every 25th shard is open work."""
     state = tr.last_event(trace(spark, d), KEYS, ["ts", "event_id"])
-    jobs = state.withColumn("status", F.when((F.col("event") == "done") | (F.col("shard_id") % 10 != 0), "done").otherwise("open"))
+    jobs = state.withColumn("status", F.when((F.col("event") != "failed") | (F.col("shard_id") % 25 != 0), "done").otherwise("open"))
     return tr.without_open_work(jobs, "direction_key")
 
 
@@ -120,12 +120,59 @@ def orphan_scores(spark: SparkSession, d: str) -> DataFrame:
     return scores(spark, d).join(known, "pair_id", "left_anti").select("pair_id", "direction_key", "qe_model")
 
 
-@query()
+#: Corpora that differ only in case, white space, hyphens, underscores or full stops are one.
+_CORPUS = r"nullif(lower(regexp_replace(corpus, '[\s\-_.]+', '', 'g')), '')"
+
+
+@query(f"""WITH RECURSIVE sizes AS (SELECT {_CORPUS} AS corpus, count(*) AS n_rows FROM bitext GROUP BY 1), ordered AS (SELECT *, row_number() OVER (ORDER BY n_rows DESC, corpus IS NULL, corpus) AS k FROM sizes),
+packed AS (SELECT 0::BIGINT AS k, [0, 0, 0, 0]::BIGINT[] AS loads, 0::BIGINT AS place UNION ALL
+SELECT p.k + 1, list_transform(loads, lambda x, i: x + CASE WHEN i = list_position(loads, list_min(loads)) THEN n_rows ELSE 0 END), list_position(loads, list_min(loads)) FROM packed p JOIN ordered o ON o.k = p.k + 1)
+SELECT (place - 1)::INT AS chunk, corpus, n_rows FROM packed JOIN ordered USING (k)""")
 def balanced_chunks(spark: SparkSession, d: str) -> DataFrame:
-    """Corpora packed into four chunks by size, largest first; one row a corpus reaches the driver."""
-    sizes = {r.corpus or "": r.n for r in table(spark, d, "bitext").groupBy("corpus").agg(F.count("*").alias("n")).collect()}
-    packed = budget.pack_bins(sizes, 4)
-    return spark.createDataFrame([(i, name, sizes[name]) for i, names in enumerate(packed) for name in names], "chunk int, corpus string, n_rows bigint")
+    """Corpora packed into four chunks by size, largest first."""
+    corpus = F.lower(F.regexp_replace("corpus", r"(?U)[\s\-_.]+", ""))
+    rows = table(spark, d, "bitext").select(F.when(corpus != "", corpus).alias("corpus"), F.lit(1).alias("n_rows"))
+    return budget.pack_groups(rows, "corpus", "n_rows", 4)
+
+
+_SLOTS, _QUOTA = 12, 7
+
+
+@query(f"""WITH {_STATE}, numbered AS (SELECT direction_key, shard_id, row_number() OVER (ORDER BY n DESC, direction_key, shard_id) - 1 AS k FROM (SELECT *, count(*) OVER (PARTITION BY direction_key) AS n FROM state))
+SELECT direction_key, shard_id, CASE WHEN k < {_QUOTA * _SLOTS} THEN k // {_QUOTA} ELSE k % {_SLOTS} END::INT AS slot, CASE WHEN k < {_QUOTA * _SLOTS} THEN k % {_QUOTA} ELSE {_QUOTA} + (k - {_QUOTA * _SLOTS}) // {_SLOTS} END::INT AS seq FROM numbered""")
+def assigned_slots(spark: SparkSession, d: str) -> DataFrame:
+    """All shards dealt to twelve slots of seven, what is left over round the slots."""
+    return budget.assign_slots(tr.last_event(trace(spark, d), KEYS, ["ts", "event_id"]).select(*KEYS), *KEYS, _QUOTA, _SLOTS)
+
+
+_DIRECTIONS = "directions AS (SELECT 'd' || i AS direction_key, 's' || i AS src_lang, 't' || i AS tgt_lang, 1000 + 10 * i AS shard_size FROM range(1, 8) x(i))"
+
+
+def _directions(spark: SparkSession) -> DataFrame:
+    i = F.col("id")
+    return spark.range(1, 8).select(F.concat(F.lit("d"), i).alias("direction_key"), F.concat(F.lit("s"), i).alias("src_lang"), F.concat(F.lit("t"), i).alias("tgt_lang"), (1000 + 10 * i).alias("shard_size"))
+
+
+@query(f"WITH {_STATE}, {_DIRECTIONS} SELECT s.direction_key, s.shard_id, d.src_lang, d.tgt_lang, s.shard_id * d.shard_size AS start_idx, (s.shard_id + 1) * d.shard_size AS end_idx FROM state s JOIN directions d USING (direction_key) WHERE s.event IN ('failed', 'claim')")
+def pending_manifest(spark: SparkSession, d: str) -> DataFrame:
+    """Unfinished shards with what their directions know, and the rows each covers."""
+    state = tr.last_event(trace(spark, d), KEYS, ["ts", "event_id"])
+    return tr.pending_manifest(state.withColumnRenamed("event", "status"), _directions(spark), "direction_key", "shard_id", ["failed", "claim"])
+
+
+@query(f"""WITH {_WON}, wanted AS (SELECT 'd' || a AS direction_key, s AS shard_id FROM range(8) x(a), range(5, 60) y(s))
+SELECT coalesce(q.direction_key, w.direction_key) AS direction_key, count(q.shard_id) AS n_requested, count(w.shard_id) AS n_done, count(*) FILTER (q.shard_id IS NOT NULL AND w.shard_id IS NULL) AS n_missing, count(*) FILTER (q.shard_id IS NULL) AS n_unrequested
+FROM wanted q FULL JOIN won w ON w.direction_key = q.direction_key AND w.shard_id = q.shard_id GROUP BY 1""")
+def manifest_probe(spark: SparkSession, d: str) -> DataFrame:
+    """A manifest against what the trace says is done, both ways."""
+    wanted = spark.range(8 * 55).select(F.concat(F.lit("d"), F.floor(F.col("id") / 55)).alias("direction_key"), (F.col("id") % 55 + 5).alias("shard_id"))
+    return tr.probe(wanted, trace(spark, d).filter("event = 'done'"), ["direction_key"], ["shard_id"])
+
+
+@query(f"""WITH {_EVENTS} SELECT worker_id, event_id, count(*) OVER (PARTITION BY worker_id ORDER BY floor(epoch(ts))::BIGINT RANGE BETWEEN 59 PRECEDING AND CURRENT ROW) AS n FROM trace""")
+def rate_windows(spark: SparkSession, d: str) -> DataFrame:
+    """Calls of each worker within a minute up to each call."""
+    return tr.rate_windows(trace(spark, d), ["worker_id"], "ts", 60).select("worker_id", "event_id", "n")
 
 
 @query(f"WITH {_WON} SELECT event_id FROM trace t WHERE EXISTS (SELECT 1 FROM won w WHERE w.direction_key = t.direction_key AND w.shard_id = t.shard_id)")

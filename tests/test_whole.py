@@ -11,7 +11,7 @@ from corpusloom.functions import text as T
 from corpusloom.operators import budget, joint, outlier
 from corpusloom.operators.thresholds import LOWER_ONLY, SAFEGUARDS, UPPER_ONLY
 from corpusloom.plans import joint_plans, registry
-from corpusloom.plans.views import WHOLE_FEATURES
+from corpusloom.plans.views import FEATURES
 
 QUERIES = registry.load()
 LETTER = regex.compile(r"\p{L}")
@@ -69,7 +69,7 @@ def test_whole_joint_scores(spark, sf):
     base = joint_plans._base(spark, sf).filter("reasons = 0").toPandas()
     texts = pd.read_parquet(f"{sf}/bitext.parquet").dropna(subset=["src_lang", "tgt_lang"]).sort_values(["pair_id", "ingested_at"]).drop_duplicates("pair_id")
     rows = base.merge(texts[["pair_id", "source_text", "target_text"]], on="pair_id")
-    got = QUERIES["whole_joint_scores"](spark, sf).toPandas().set_index("pair_id")["joint_score"]
+    got = QUERIES["joint_scores"](spark, sf).toPandas().set_index("pair_id")["joint_score"]
     assert len(got) == len(rows) > 0
     used = np.zeros(5)
     for _, r in rows.groupby("lang_pair"):
@@ -98,7 +98,7 @@ def test_text_signals(spark):
 
 
 def test_whole_stage1(spark, sf):
-    rows = QUERIES["whole_pair_features"](spark, sf).toPandas()
+    rows = QUERIES["pair_features"](spark, sf).toPandas()
     texts = pd.read_parquet(f"{sf}/bitext.parquet").dropna(subset=["source_text", "target_text", "src_lang", "tgt_lang"])
     texts["lang_pair"] = texts["src_lang"] + "-" + texts["tgt_lang"]
     rows["ingested_at"] = rows["ingested_at"].dt.tz_localize("UTC").astype(texts["ingested_at"].dtype)
@@ -111,7 +111,7 @@ def test_whole_stage1(spark, sf):
         assert np.isclose(r.score_lcs_ratio, T.lcs_length(s, t) / min(len(s), len(t)) if s and t else 0.0)
         assert np.isclose(r.score_numerals, T.numeral_ratio(s, t)) and (r.score_repeat_src, r.score_repeat_trg) == (T.repetition(s), T.repetition(t))
     keep = ~rows["filter_html_src"] & ~rows["filter_html_trg"]
-    for f in WHOLE_FEATURES:
+    for f in FEATURES:
         by = rows.groupby("lang_pair")[f]
         mean, std = by.transform("mean"), by.transform("std").fillna(0)
         low, high = SAFEGUARDS[f]
@@ -119,9 +119,9 @@ def test_whole_stage1(spark, sf):
             keep &= rows[f] >= np.minimum(np.minimum(by.transform("quantile", 0.001), mean - 4 * std), low or 0.0) - 1e-9
         if f not in LOWER_ONLY and high is not None:
             keep &= rows[f] <= np.maximum(np.maximum(by.transform("quantile", 0.999), mean + 4 * std), high) + 1e-9
-    got = QUERIES["whole_stage1_filter"](spark, sf).select("pair_id", "ingested_at").toPandas()
+    got = QUERIES["stage1_filter"](spark, sf).select("pair_id", "ingested_at").toPandas()
     assert sorted(got["pair_id"]) == sorted(rows.loc[keep, "pair_id"])
-    assert len(WHOLE_FEATURES) == len(SAFEGUARDS) == 16
+    assert len(FEATURES) == len(SAFEGUARDS) == 16
 
 
 def test_forest_by_group(spark, monkeypatch):
@@ -156,9 +156,9 @@ def test_script_of_all_texts(spark, tmp_path):
     # The first hundred texts of a label are in another script than the rest, or empty.
     rows = [(i, "abc", "\u0442\u0435\u043a\u0441\u0442" if i < 50 else None) for i in range(100)] + [(i, "abc", "a latin text") for i in range(100, 400)]
     spark.createDataFrame(rows, "doc_id bigint, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    found = QUERIES["whole_script_detection"](spark, str(tmp_path)).collect()
+    found = QUERIES["script_detection"](spark, str(tmp_path)).collect()
     assert [(r.lang, r.script) for r in found] == [("abc", "Latn")] and np.isclose(found[0].share, 300 * 10 / (300 * 10 + 50 * 5))
-    assert [tuple(r) for r in QUERIES["whole_normalised_codes"](spark, str(tmp_path)).collect()] == [("abc", "abc_Latn")]
+    assert [tuple(r) for r in QUERIES["normalised_codes"](spark, str(tmp_path)).collect()] == [("abc", "abc_Latn")]
 
 
 def test_plan_of_every_dataset(spark, sf):
