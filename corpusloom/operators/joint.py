@@ -226,6 +226,15 @@ def score_histogram(rows: DataFrame, keys: list[str], score: str, tokens: str, b
     return rows.groupBy(*keys, score_bin(F.col(score), bins).alias("bin")).agg(F.count("*").alias("rows"), F.sum(tokens).alias("tokens"))
 
 
+def scale_to_totals(hist: DataFrame, totals: DataFrame, keys: list[str], weight: str, total: str) -> DataFrame:
+    """``hist`` with ``weight`` scaled so that it sums to each group's known ``total``; a group without a known total
+    (null or not positive), or without weight, keeps its own. One row a bin."""
+    own = hist.groupBy(*keys).agg(F.sum(weight).alias("_own"))
+    known = join_groups(own, totals.select(*keys, F.col(total).cast("double").alias("_known")), keys, "left")
+    factor = F.when((F.col("_known") > 0) & (F.col("_own") > 0), F.col("_known") / F.col("_own")).otherwise(1.0)
+    return join_groups(hist, known.select(*keys, factor.alias("_factor")), keys).withColumn(weight, F.col(weight) * F.col("_factor")).drop("_factor")
+
+
 def volume_rate(original: Column, config: JointConfig = JointConfig()) -> Column:
     """Keep rate of a volume tier; a volume on an edge belongs to the tier above."""
     rate = F.lit(config.volume_rates[-1])

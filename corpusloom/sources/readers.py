@@ -5,6 +5,8 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
+from functools import reduce
+from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -128,6 +130,54 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType | str, bad: st
     return spark.read.schema(schema).option("mode", {"skip": "DROPMALFORMED", "fail": "FAILFAST"}[bad]).json(path)
 
 
+def read_catalogue(spark: SparkSession, path: str, schema: str, field: str = "corpora") -> DataFrame:
+    """The entries of a catalogue service's JSON answers that were saved to files, one row each. Fetching them is left to
+    the caller: jobs have no network."""
+    answers = spark.read.schema(f"{field} array<struct<{', '.join(part.strip().replace(' ', ': ', 1) for part in schema.split(','))}>>").option("multiLine", "true").json(path)
+    return answers.select(F.explode(field).alias("_e")).select("_e.*")
+
+
+def _workbook_rows(content: bytes) -> Iterator[list[str | None]]:
+    """The rows of a workbook's first sheet as text."""
+    name = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        shared = []
+        if "xl/sharedStrings.xml" in archive.namelist():
+            shared = ["".join(t.text or "" for t in item.iter(f"{name}t")) for item in ElementTree.fromstring(archive.read("xl/sharedStrings.xml")).iter(f"{name}si")]
+        with archive.open("xl/worksheets/sheet1.xml") as sheet:
+            for _, row in ElementTree.iterparse(sheet):
+                if row.tag != f"{name}row":
+                    continue
+                cells: dict[int, str] = {}
+                for k, c in enumerate(row.iter(f"{name}c")):
+                    place = reduce(lambda n, x: 26 * n + ord(x) - 64, (x for x in c.get("r", "") if x.isalpha()), 0) - 1
+                    value = c.find(f"{name}v")
+                    text = "".join(t.text or "" for t in c.iter(f"{name}t")) if c.get("t") == "inlineStr" else None if value is None else value.text
+                    cells[place if place >= 0 else k] = shared[int(text)] if c.get("t") == "s" and text is not None else text
+                yield [cells.get(i) for i in range(max(cells, default=-1) + 1)]
+                row.clear()
+
+
+def read_workbook(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """``columns`` of the first sheets of workbooks as text, by the names in their first rows; rows without any value
+    are left out, and a file that is no workbook, or lacks a column, has no row. One task reads a workbook."""
+
+    def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for content in frame["content"]:
+                try:
+                    rows = _workbook_rows(content)
+                    head = next(rows, [])
+                    at = [head.index(c) for c in columns]
+                    found = [[r[i] if i < len(r) else None for i in at] for r in rows]
+                except (zipfile.BadZipFile, KeyError, ValueError, ElementTree.ParseError):
+                    continue
+                yield pd.DataFrame([r for r in found if any(v is not None for v in r)], columns=columns, dtype=object)
+
+    files = spark.read.format("binaryFile").load(path).select("content")
+    return files.mapInPandas(parse, ", ".join(f"`{c}` string" for c in columns))
+
+
 def read_stats(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """CSV statistics and their chunk siblings as one table; of rows with equal keys that of the last file, last line, counts."""
     raw = spark.read.option("header", "true").option("inferSchema", "true").csv(path)

@@ -6,10 +6,11 @@ import json
 import math
 from hashlib import sha256
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.operators.prefix import row_numbers
+from corpusloom.operators.keys import join_groups
+from corpusloom.operators.prefix import row_numbers, running_sum
 
 
 def write_shards(rows: DataFrame, path: str, most_rows: int, by: list[str] = (), mode: str = "overwrite") -> None:
@@ -23,6 +24,58 @@ def write_sized(rows: DataFrame, path: str, most_bytes: int, bytes_per_row: floa
     write_shards(rows, path, max(1, int(most_bytes / bytes_per_row)), mode=mode)
 
 
+def byte_shards(rows: DataFrame, group: list[str], order: list[Column], size: Column, most_bytes: int) -> DataFrame:
+    """``rows`` with ``file_no`` from 0 in their group: a file takes rows in ``order`` until it holds ``most_bytes`` of
+    ``size``, and the row that reaches that is its last but never in two. Sizes are summed over slices."""
+    summed = running_sum(rows.withColumn("_size", F.coalesce(size, F.lit(0)).cast("bigint")), group, order, F.col("_size"), "_to")
+    return summed.withColumn("file_no", F.floor((F.col("_to") - F.col("_size")) / most_bytes).cast("bigint")).drop("_size", "_to")
+
+
+def write_rotated(rows: DataFrame, path: str, group: list[str], order: list[Column], size: Column, most_bytes: int) -> None:
+    """Parquet in folders ``group/file_no``, each of rows of about ``most_bytes``."""
+    byte_shards(rows, group, order, size, most_bytes).write.mode("overwrite").partitionBy(*group, "file_no").parquet(path)
+
+
+def rehome_plan(files: DataFrame, home: str, new_home: str, name: str) -> DataFrame:
+    """``files`` (one row a file) with ``new_name``: a file whose home changes moves there, and one that finds its name
+    taken by a file that stays or by an earlier move, in the order of the old homes, gets ``.moved-N``."""
+    place = Window.partitionBy(new_home, name).orderBy((F.col(home) != F.col(new_home)).cast("int"), home)
+    n = F.row_number().over(place) - 1  # one row a home that moves into another
+    return files.withColumn("new_name", F.when(n == 0, F.col(name)).otherwise(F.concat(F.col(name), F.lit(".moved-"), n)))
+
+
+def rehome(rows: DataFrame, path: str, home: str, new_home: str, name: str) -> None:
+    """Rewrite ``rows`` by their new homes in folders ``new_home/new_name``; homes that nothing is left in vanish."""
+    plan = rehome_plan(rows.select(home, new_home, name).distinct(), home, new_home, name)
+    moved = join_groups(rows, plan, [home, new_home, name])
+    moved.drop(home, name).write.mode("overwrite").partitionBy(new_home, "new_name").parquet(path)
+
+
+def verify_union(parts: list[DataFrame], merged: DataFrame, rename: dict[str, str] | None = None) -> int:
+    """The number of rows of ``merged``, which must be that of all ``parts`` together and have all their columns with
+    their types, renamed; else an error says what differs."""
+    kinds = {(rename or {}).get(f.name, f.name): f.dataType for part in parts for f in part.schema}
+    if wrong := sorted(n for n, kind in kinds.items() if n not in merged.columns or merged.schema[n].dataType != kind):
+        raise ValueError(f"columns differ after the merge: {wrong}")
+    before, after = sum(p.count() for p in parts), merged.count()
+    if before != after:
+        raise ValueError(f"{before} rows were merged, {after} are there")
+    return after
+
+
+def remove_merged_inputs(spark: SparkSession, inputs: str, merged: str, dry_run: bool = True) -> list[str]:
+    """Names of the folders in ``inputs`` of which ``merged`` has a finished output (with ``_SUCCESS``); unless
+    ``dry_run`` they are deleted."""
+    fs, root = _fs(spark, inputs)
+    _, out = _fs(spark, merged)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    names = sorted(s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory())
+    done = [n for n in names if out.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path(f"{merged}/{n}/_SUCCESS"))]
+    for n in [] if dry_run else done:
+        fs.delete(path(f"{inputs}/{n}"), True)
+    return done
+
+
 def shard_numbers(rows: DataFrame, group: list[str], order: list[Column], size: int) -> DataFrame:
     """``rows`` with ``row_index`` (from 0) and ``shard_id`` in a total order; exact without a global window."""
     numbered = row_numbers(rows, group, order, "_n")

@@ -46,6 +46,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return table
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, deleted when the driver's JVM ends."""
+    path = f"{shared_dir(spark)}/corpusloom/{label}-{uuid.uuid4().hex}"
+    fs, target = _place(spark, path)
+    fs.deleteOnExit(target)
+    return path
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete the files of materialised tables that nothing reads any more; other tables are left alone."""
     for table in tables:
