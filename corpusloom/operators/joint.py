@@ -265,13 +265,15 @@ def allocate_budget(pairs: DataFrame, key: str, original: str, eligible: str, ta
 def budget_boundary(hist: DataFrame, budgets: DataFrame, keys: list[str], weight: str, bins: int) -> DataFrame:
     """``keys, boundary_bin, boundary_fraction``: bins above the boundary are kept whole, the boundary bin in part.
 
-    A budget of 0 or less keeps nothing (bin = ``bins``), one of all keeps everything (bin -1, fraction 1). At most
+    A budget of 0 or less keeps nothing (bin = ``bins``), one of all keeps everything (bin -1, fraction 1). A budget that
+    ends with a bin but for the last digits takes that bin whole, whatever the order in which it was summed up. At most
     ``bins`` rows a group reach the window.
     """
     w = Window.partitionBy(*keys).orderBy(F.desc("bin"))
     total = hist.groupBy(*keys).agg(F.sum(weight).alias("total"))
     sums = hist.withColumn("to_here", F.sum(weight).over(w)).join(budgets.select(*keys, "budget"), keys).join(total, keys)
-    hit = (F.col("to_here") >= F.col("budget")) & (F.col("to_here") - F.col(weight) < F.col("budget"))
+    least = F.col("budget") * (1 - 1e-12)
+    hit = (F.col("to_here") >= least) & (F.col("to_here") - F.col(weight) < least)
     fraction = clip((F.col("budget") - (F.col("to_here") - F.col(weight))) / F.nullif(F.col(weight), F.lit(0)), 0.0, 1.0)
     found = sums.groupBy(*keys).agg(F.first("budget").alias("b"), F.first("total").alias("t"), F.max(F.when(hit, F.struct(F.col("bin").alias("bin"), fraction.alias("f")))).alias("at"))
     nothing, everything = (F.col("b") <= 0) | (F.col("t") <= 0), F.col("b") >= F.col("t") * (1 - 1e-12)

@@ -189,7 +189,7 @@ def token_budgets(spark: SparkSession, d: str) -> DataFrame:
 
 _BOUNDARY = f"""{_BUDGET}, group_budget AS (SELECT lang_pair, llm_present, any_value(budget) * sum(tokens) / any_value(e) AS budget, sum(tokens) AS total FROM hist JOIN budgets USING (lang_pair) JOIN vol USING (lang_pair) GROUP BY 1, 2),
 down AS (SELECT h.*, g.budget, g.total, sum(tokens) OVER (PARTITION BY h.lang_pair, h.llm_present ORDER BY bin DESC) AS to_here FROM hist h JOIN group_budget g ON g.lang_pair = h.lang_pair AND g.llm_present = h.llm_present),
-boundaries AS (SELECT lang_pair, llm_present, bin AS boundary_bin, (budget - (to_here - tokens)) / tokens::DOUBLE AS boundary_fraction FROM down WHERE to_here >= budget AND to_here - tokens < budget)"""
+boundaries AS (SELECT lang_pair, llm_present, bin AS boundary_bin, least((budget - (to_here - tokens)) / tokens::DOUBLE, 1) AS boundary_fraction FROM down WHERE to_here >= budget * (1 - 1e-12::DOUBLE) AND to_here - tokens < budget * (1 - 1e-12::DOUBLE))"""
 
 
 def _boundaries(rows: DataFrame) -> DataFrame:
