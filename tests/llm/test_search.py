@@ -81,6 +81,8 @@ def test_spellings(spark):
     codes = [("en", "eng_Latn"), ("ENG", "eng_Latn"), ("eng-Latn ", "eng_Latn"), ("zh", "zho_Hans"), ("und", None), ("", None), (None, None), ("??", None), ("xx", None)]
     df = spark.createDataFrame([(c, w) for c, w in codes], "c string, w string")
     assert all(r.l == r.w for r in df.select("w", language_of(F.col("c")).alias("l")).collect())
+    more = spark.createDataFrame([("hun_Latn", "hun_Latn"), ("HUN-latn", "hun_Latn"), (" hunLatn ", "hun_Latn"), ("hun", None), ("hun_Lat", None), ("h1n_Latn", None)], "c string, w string")
+    assert [r.l for r in more.select(language_of(F.col("c")).alias("l")).collect()] == [r.w for r in more.collect()]
     names = spark.createDataFrame([("Web Matrix",), ("web-matrix",), (" WEB_MATRIX.",), ("web matrix",)], "s string")
     assert [r.k for r in names.select(source_key(F.col("s")).alias("k")).distinct().collect()] == ["webmatrix"]
     assert spark.createDataFrame([(" .-",), (None,)], "s string").select(source_key(F.col("s")).alias("k")).filter("k is not null").count() == 0
@@ -147,3 +149,35 @@ def test_grams():
     bucket, owner = langid.grams(["ab", "c"])
     # " ab " and " c ": 2 + 3 + 2 + 1 and 1 + 2 + 1 + 0 grams of 1 to 4 characters
     assert np.bincount(owner).tolist() == [8, 4] and len(set(bucket.tolist())) == 12
+
+
+def test_planted_passages(spark):
+    """Passages of 60 characters with one or two edits among texts that have nothing to do with the items."""
+    rnd = random.Random(8)
+    words = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randint(2, 9))) for _ in range(3000)]
+    items = [(f"i{k}", " ".join(rnd.choices(words, k=30))) for k in range(40)]
+    docs, want = [], {}
+    for n in range(400):
+        item, text = rnd.choice(items)
+        clean = leaks.normalise(text)
+        at = rnd.randrange(len(clean) - 60 + 1)
+        passage, edits = list(clean[at : at + 60]), 1 + n % 2
+        for k in rnd.sample(range(1, 59), edits):
+            passage[k] = rnd.choice([rnd.choice("0123"), passage[k] + rnd.choice("0123"), ""])
+        docs.append((n, " ".join([*rnd.choices(words, k=20), "".join(passage), *rnd.choices(words, k=20)])))
+        want[(n, item)] = edits
+    docs += [(1000 + n, " ".join(rnd.choices(words, k=60))) for n in range(200)]
+    found = leaks.find_leaks(spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(items, "item_id string, text string"), window=60, errors=2, block_chars=4000)
+    got = {(r.doc_id, r.item_id): r.edits for r in found.collect()}
+    assert set(got) == set(want) and all(0 < got[k] <= e for k, e in want.items())
+
+
+def test_thirteenth_language(spark, labelled):
+    """A language that no list has is learnt, found and kept apart."""
+    rnd = random.Random(9)
+    words = ["".join(rnd.choices("bdgkmnptvzaouy", k=rnd.randint(3, 8))) + "ok" for _ in range(300)]
+    own = spark.createDataFrame([(" ".join(rnd.choices(words, k=12)),) for _ in range(200)], "text string").select(F.lit("qtz_Latn").alias("lang"), "text")
+    nb = langid.fit(labelled.select(language_of(F.col("lang")).alias("lang"), "text").union(own))
+    assert "qtz_Latn" in nb.languages and len(nb.languages) == len(LANGUAGES) + 1
+    test = spark.createDataFrame([(i, " ".join(rnd.choices(words, k=10))) for i in range(20)], "id int, text string")
+    assert {r.lang for r in langid.segments(test, nb, ["id"]).collect()} == {"qtz_Latn"}

@@ -170,3 +170,10 @@ def test_agglomerate():
 def test_kinds_of_breaks():
     at, kind = splitting.breaks("A b. C\nd\n\ne。f")
     assert list(zip(at, kind)) == [(1, 1), (4, 2), (6, 3), (8, 4), (12, 2)]
+
+
+def test_budget_of_other_languages(spark):
+    docs = spark.createDataFrame([(1, "one two", "hun_Latn", "s", "d"), (2, "one", "HUN-Latn", "s", "d"), (3, "one", "nope", "s", "d")], "doc_id int, text string, lang string, source string, domain string")
+    plan = spark.createDataFrame([("hun_Latn", 7)], "lang string, available_tokens bigint")
+    got = {r.value: (r.n_docs, r.available_tokens) for r in tokens.budget_by_slice(docs, plan, tokens.token_count()).filter("slice = 'language'").collect()}
+    assert got == {"hun_Latn": (2, 7), None: (1, None)}
