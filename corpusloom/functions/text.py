@@ -8,6 +8,7 @@ from __future__ import annotations
 import unicodedata
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column
@@ -151,22 +152,51 @@ def numeral_score(source: pa.Array, target: pa.Array) -> pa.Array:
     return pa.array([numeral_ratio(s, t) for s, t in zip(source.to_pylist(), target.to_pylist())], pa.float64())
 
 
-@cache
-def _repeat_pattern(least: int, longest: int, times: int):
-    return regex.compile(rf"(?>(\S.{{{least - 1},{longest}}}?))(?: *\1){{{times},}}")
-
-
-def repetition(text: str | None, least: int = 3, longest: int = 100, times: int = 2) -> int:
-    """Repeats of the first segment that follows itself at least ``times`` times; 0 if none.
-
-    The atomic group ends at the segment's least length, so the search is linear and needs no time limit."""
-    found = _repeat_pattern(least, longest, times).search(text) if text else None
-    return found[0].count(found[1]) - 1 if found else 0
+#: Marks the end of a text where many are searched at once; no character has this number.
+_STOP = 0xFFFFFFFF
+_BLANK = np.array([i for i in range(0x3001) if regex.match(r"\s", chr(i))], np.uint32)
+
+
+def repetitions(texts: list[str | None], size: int = 3, times: int = 2) -> np.ndarray:
+    """For each text the repeats of its first segment of ``size`` characters that follows itself at least ``times``
+    times, with or without spaces between; 0 if there is none. A segment begins with no white space and doesn't go
+    beyond a line.
+
+    All texts are searched together and in time linear in their length: from each place the next segment begins behind
+    any spaces, and where it is equal the repeats there are one more than at that next place."""
+    lengths = np.array([len(t) if t else 0 for t in texts], np.int64)
+    begin = np.cumsum(lengths + size) - lengths - size
+    total = int((lengths + size).sum())
+    points = np.full(total + size + 1, _STOP, np.uint32)
+    for at, text in zip(begin.tolist(), texts):
+        if text:
+            points[at : at + len(text)] = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    place = np.arange(total, dtype=np.int64)
+    beyond = np.minimum.accumulate(np.where(points == 32, len(points), np.arange(len(points)))[::-1])[::-1]
+    following = np.minimum(beyond[place + size], total)
+    usable = ~np.isin(points[:total], _BLANK) & (points[:total] != _STOP)
+    for k in range(1, size):
+        usable &= (points[place + k] != 10) & (points[place + k] != _STOP)
+    for k in range(size):
+        usable &= points[place + k] == points[following + k]
+    repeats, onward = np.zeros(total + 1, np.int64), following.tolist()
+    for i in np.flatnonzero(usable)[::-1].tolist():
+        repeats[i] = repeats[onward[i]] + 1
+    found = np.flatnonzero(repeats >= times)
+    owner, first = np.unique(np.searchsorted(begin, found, "right") - 1, return_index=True)
+    out = np.zeros(len(texts), np.int64)
+    out[owner] = repeats[found[first]]
+    return out
+
+
+def repetition(text: str | None, size: int = 3, times: int = 2) -> int:
+    """``repetitions`` of one text."""
+    return int(repetitions([text], size, times)[0])
 
 
 @F.arrow_udf(IntegerType())
 def repetition_score(texts: pa.Array) -> pa.Array:
-    return pa.array([repetition(t) for t in texts.to_pylist()], pa.int32())
+    return pa.array(repetitions(texts.to_pylist()).astype(np.int32))
 
 
 @F.arrow_udf(BooleanType())
