@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators.keys import join_groups
@@ -24,9 +24,40 @@ def keep_one(rows: DataFrame, keys: list[str], order: list[str], last: bool = Fa
     return kept.select(*[F.col(k) if k in keys else F.col(f"_row.{k}").alias(k) for k in rows.columns])
 
 
+def _as_long(rows: DataFrame, column: str) -> Column | None:
+    """A column as a number in its order, null as the lowest; None for types that aren't whole numbers."""
+    kind = rows.schema[column].dataType.simpleString()
+    number = {"timestamp": F.unix_micros, "date": F.unix_date}.get(kind, lambda c: c)(F.col(column))
+    return F.coalesce(number.cast("bigint"), F.lit(-(2**63))) if kind in ("timestamp", "date", "bigint", "int", "smallint", "tinyint") else None
+
+
 def exact_dedup(rows: DataFrame, source: str, target: str, order: list[str]) -> DataFrame:
-    """One row per pair of texts, rows with a null text removed; of copies the first by ``order`` stays whole."""
-    return keep_one(rows.filter(F.col(source).isNotNull() & F.col(target).isNotNull()), [source, target], order)
+    """One row per pair of texts, rows with a null text removed; of copies the first by ``order``, then by all other
+    columns, stays whole.
+
+    Texts are reduced to 128 bits of hash, and the first time of each is found by a hash aggregation of three numbers.
+    Rows are then shuffled once, by hash and time, so that the copies of a text that makes up a third of the corpus
+    spread over its times and leave no trace but their first; what is left of equal times is settled in place. Texts
+    that share a hash (a third one tells) are compared as such. Where ``order`` doesn't begin with a time or a whole
+    number, texts are grouped as they are."""
+    whole = rows.filter(F.col(source).isNotNull() & F.col(target).isNotNull())
+    time = _as_long(rows, order[0])
+    if time is None:
+        return keep_one(whole, [source, target], order)
+    h = lambda seed: F.xxhash64(F.lit(seed), source, target)
+    # Names longer than any column's can't clash with one.
+    h1, h2, o, mixed, place = (x + "_" * max(map(len, rows.columns)) for x in ("h1", "h2", "o", "mixed", "place"))
+    hashed = whole.withColumns({h1: h(1), h2: h(2), o: time})
+    heads = hashed.groupBy(h1, h2).agg(F.min(o).alias(o), (F.min(h(3)) != F.max(h(3))).alias(mixed))
+    heads = materialize(heads, "heads")
+    near = hashed.join(heads.filter(~F.col(mixed)).drop(mixed), [h1, h2, o])
+    rest = [c for c in rows.columns if c not in (source, target, *order)]
+    first = F.row_number().over(Window.partitionBy(h1, h2, o).orderBy(*order, *rest))
+    kept = near.withColumn(place, first).filter(F.col(place) == 1).select(*rows.columns)
+    shared = heads.filter(F.col(mixed)).select(h1, h2)
+    if shared.isEmpty():
+        return kept
+    return kept.unionByName(keep_one(hashed.join(shared, [h1, h2], "left_semi").select(*rows.columns), [source, target], order))
 
 
 def dedup_counts(rows: DataFrame, by: list[str], source: str, target: str) -> DataFrame:

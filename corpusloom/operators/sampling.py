@@ -123,3 +123,10 @@ def systematic_sample(rows: DataFrame, keys: list[str], order: list[Column], pro
 def shuffled(rows: DataFrame, seed: int, *ids: str) -> DataFrame:
     """All rows in an order by hash."""
     return rows.orderBy(stable_uniform(seed, *[F.col(i) for i in ids]), *ids)
+
+
+def oriented(rows: DataFrame, swaps: dict[str, str], first_lang: str, second_lang: str, english: str = "eng_Latn") -> DataFrame:
+    """``rows`` turned so that English, where it is on one side only, comes first; ``swaps`` names the columns to exchange."""
+    turn = (F.col(second_lang) == english) & ~F.coalesce(F.col(first_lang) == english, F.lit(False))
+    other = swaps | {v: k for k, v in swaps.items()} | {first_lang: second_lang, second_lang: first_lang}
+    return rows.select(*[F.when(F.coalesce(turn, F.lit(False)), F.col(other[c])).otherwise(F.col(c)).alias(c) if c in other else F.col(c) for c in rows.columns])

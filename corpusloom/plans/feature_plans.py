@@ -215,10 +215,10 @@ def _blake(text: str, size: int, order: str) -> int:
     return int.from_bytes(blake2b(text.encode(), digest_size=size).digest(), order)
 
 
-_SALTS = "salts(lang_pair, salt, shard) AS (VALUES " + ", ".join(f"('{p}', {_blake(f'42:{p}:0', 8, 'little')}::UBIGINT, {_blake(p, 16, 'big') % 16}::BIGINT)" for p in (f"{a}-{b}" for a in _CODES for b in _CODES)) + ")"
+SALTS = "salts(lang_pair, salt, shard) AS (VALUES " + ", ".join(f"('{p}', {_blake(f'42:{p}:0', 8, 'little')}::UBIGINT, {_blake(p, 16, 'big') % 16}::BIGINT)" for p in (f"{a}-{b}" for a in _CODES for b in _CODES)) + ")"
 
 
-@query(f"WITH {PAIRS}, {_SALTS}, salted AS (SELECT pair_id, salt, shard FROM pairs LEFT JOIN salts USING (lang_pair)), {mixed('salted', 'drawn', 'salt', 'pair_id')} SELECT pair_id, u, shard FROM drawn")
+@query(f"WITH {PAIRS}, {SALTS}, salted AS (SELECT pair_id, salt, shard FROM pairs LEFT JOIN salts USING (lang_pair)), {mixed('salted', 'drawn', 'salt', 'pair_id')} SELECT pair_id, u, shard FROM drawn")
 def row_uniforms(spark: SparkSession, d: str) -> DataFrame:
     """SplitMix64 uniforms and BLAKE2b shards of every pair, the same wherever the row is."""
     rows = pairs(spark, d).select("pair_id", "lang_pair")

@@ -46,26 +46,55 @@ def _unsigned(value: str) -> str:
     return f"(CASE WHEN {value} >= 0 THEN ({value})::UHUGEINT ELSE ({WORD} - (-({value})::HUGEINT)::UHUGEINT) END)::UBIGINT"
 
 
-def hashed(table: str, name: str, seed: int, *longs: str) -> str:
-    """CTEs ending in ``name``: ``table`` with ``u`` in [0, 1), from the hash of a 32-bit seed and 64-bit columns."""
-    p1, p2, p3, p4, p5 = PRIMES
-    steps = _Steps(table, name)
+def _finish(steps: _Steps) -> None:
+    for by, prime in ((33, PRIMES[1]), (29, PRIMES[2])):
+        steps.add(h=f"xor(h, h >> {by})")
+        steps.add(h=_times("h", prime))
+    steps.add(h="xor(h, h >> 32)")
 
-    def finish() -> None:
-        for by, prime in ((33, p2), (29, p3)):
-            steps.add(h=f"xor(h, h >> {by})")
-            steps.add(h=_times("h", prime))
-        steps.add(h="xor(h, h >> 32)")
 
+def _seeded(table: str, name: str, seed: int) -> _Steps:
+    p1, p2, p3, _, p5 = PRIMES
+    steps = _Steps(table, name)
     steps.add(h=f"xor({(42 + p5 + 4) % 2**64}::UBIGINT, {_times(str(seed), p1)})")
     steps.add(h=_plus(_times(_rotated("h", 23), p2), str(p3)))
-    finish()
+    _finish(steps)
+    return steps
+
+
+def _word(steps: _Steps, value: str) -> None:
+    p1, p2, _, p4, _ = PRIMES
+    steps.add(k=_times(value, p2))
+    steps.add(k=_times(_rotated("k", 31), p1))
+    steps.add(h="xor(h, k)")
+    steps.add(h=_plus(_times(_rotated("h", 27), p1), str(p4)))
+
+
+def hashed_text(table: str, name: str, seed: int, column: str, length: int) -> str:
+    """CTEs ending in ``name``: ``table`` with the hash ``h`` of a 32-bit seed and an ASCII text of ``length`` < 32."""
+    p1, _, _, _, p5 = PRIMES
+    steps = _seeded(table, name, seed)
+    steps.add(h=_plus("h", str((p5 + length) % 2**64)))
+    byte = lambda i: f"ascii(substr({column}, {i + 1}, 1))::UHUGEINT"
+    for at in range(0, length - 7, 8):
+        _word(steps, f"({' + '.join(f'{byte(at + i)} * {256**i}::UHUGEINT' for i in range(8))})::UBIGINT")
+    if length % 8 > 3:
+        raise ValueError("lengths that leave at most three bytes")
+    for at in range(length - length % 8, length):
+        steps.add(h=f"xor(h, {_times(byte(at), p5)})")
+        steps.add(h=_times(_rotated("h", 11), p1))
+    _finish(steps)
+    steps.add(k="h")
+    return ", ".join([*steps.parts, f"{name} AS (SELECT * EXCLUDE (k) FROM {steps.table})"])
+
+
+def hashed(table: str, name: str, seed: int, *longs: str) -> str:
+    """CTEs ending in ``name``: ``table`` with ``u`` in [0, 1), from the hash of a 32-bit seed and 64-bit columns."""
+    steps = _seeded(table, name, seed)
     for column in longs:
-        steps.add(k=_times(_unsigned(column), p2))
-        steps.add(k=_times(_rotated("k", 31), p1))
-        steps.add(h=f"xor({_plus('h', str((p5 + 8) % 2**64))}, k)")
-        steps.add(h=_plus(_times(_rotated("h", 27), p1), str(p4)))
-        finish()
+        steps.add(h=_plus("h", str((PRIMES[4] + 8) % 2**64)))
+        _word(steps, _unsigned(column))
+        _finish(steps)
     return steps.sql(f"(h >> 11)::DOUBLE / {2**53}::DOUBLE AS u")
 
 

@@ -11,7 +11,8 @@ from corpusloom.operators import budget, joint, outlier, sampling
 from corpusloom.operators.dedup import keep_one
 from corpusloom.operators.keys import join_table
 from corpusloom.operators.prefix import exact_quantiles
-from corpusloom.plans.hash_sql import hashed
+from corpusloom.plans.feature_plans import SALTS
+from corpusloom.plans.hash_sql import hashed, mixed
 from corpusloom.plans.registry import query
 from corpusloom.plans.views import FEATURES, PAIRS, SCORES, alignments_sql, features, pairs, predictions_sql, scores, truth_sql, with_predictions
 from corpusloom.session import spread, table
@@ -224,12 +225,21 @@ def _selected(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return rows, joint.boundary_select(rows.withColumn("u", u), _boundaries(rows), ["lang_pair", "llm_present"], "joint_score", BINS, F.col("u")).drop("u")
 
 
-@query()
+_KEPT = f"""{_BOUNDARY}, {SALTS}, salted AS (SELECT j.*, s.salt FROM joint j JOIN salts s USING (lang_pair)), {mixed('salted', 'drawn', 'salt', 'pair_id')},
+kept AS (SELECT d.* FROM drawn d JOIN boundaries b ON b.lang_pair = d.lang_pair AND b.llm_present = d.llm_present WHERE {_BIN} > boundary_bin OR ({_BIN} = boundary_bin AND u < boundary_fraction))"""
+
+
+@query(f"WITH {_KEPT} SELECT pair_id, lang_pair, round(joint_score, 9) AS joint_score FROM kept")
 def boundary_select(spark: SparkSession, d: str) -> DataFrame:
     return _selected(spark, d)[1].select("pair_id", "lang_pair", "joint_score")
 
 
-@query()
+_SUMS = "count(*) AS rows_before, count(*) FILTER (kept) AS rows_after, sum(size)::BIGINT AS chars_before, coalesce(sum(size) FILTER (kept), 0)::BIGINT AS chars_after"
+
+
+@query(f"""WITH {_KEPT}, flagged AS MATERIALIZED (SELECT j.corpus, j.src_lang, j.tgt_lang, (j.src_chars + j.tgt_chars)::BIGINT AS size, k.pair_id IS NOT NULL AS kept FROM joint j LEFT JOIN kept k ON k.pair_id = j.pair_id),
+langs AS (SELECT unnest(list_distinct([src_lang, tgt_lang])) AS language, size, kept FROM flagged)
+SELECT 'corpus' AS kind, corpus AS name, {_SUMS} FROM flagged GROUP BY corpus UNION ALL SELECT 'language', language, {_SUMS} FROM langs GROUP BY language""")
 def selection_rollups(spark: SparkSession, d: str) -> DataFrame:
     """Rows and characters before and after the selection by corpus and by language (a pair counts for both)."""
     rows, kept = _selected(spark, d)
@@ -329,6 +339,18 @@ def shuffled_samples(spark: SparkSession, d: str) -> DataFrame:
     return sampling.shuffled(rows, 13, "sample_id")
 
 
+@query("""WITH both_files AS (SELECT sample_id AS id, lang1_text AS a, lang2_text AS b, lang1_code AS x, lang2_code AS y FROM eval_sample UNION ALL SELECT pair_id, source_text, target_text, src_lang, tgt_lang FROM bitext),
+turned AS (SELECT *, coalesce(y = 'eng_Latn' AND coalesce(x, '') <> 'eng_Latn', false) AS turn FROM both_files)
+SELECT id, CASE WHEN turn THEN b ELSE a END AS first_text, CASE WHEN turn THEN a ELSE b END AS second_text, CASE WHEN turn THEN y ELSE x END AS first_lang, CASE WHEN turn THEN x ELSE y END AS second_lang FROM turned""")
+def oriented_samples(spark: SparkSession, d: str) -> DataFrame:
+    """Two files of pairs put together, turned to English first, and shuffled."""
+    names = ["id", "first_text", "second_text", "first_lang", "second_lang"]
+    a = table(spark, d, "eval_sample").select("sample_id", "lang1_text", "lang2_text", "lang1_code", "lang2_code").toDF(*names)
+    b = table(spark, d, "bitext").select("pair_id", "source_text", "target_text", "src_lang", "tgt_lang").toDF(*names)
+    turned = sampling.oriented(a.unionByName(b), {"first_text": "second_text"}, "first_lang", "second_lang")
+    return sampling.shuffled(turned, 17, *names)
+
+
 @query(r"""WITH src AS (SELECT dataset, target_pair, source_pair, coalesce(n_lines, 0) AS n_lines, coalesce(total_tokens, 0) AS total_tokens FROM source_plan
   QUALIFY row_number() OVER (PARTITION BY dataset, target_pair, source_pair ORDER BY planned_at DESC NULLS LAST, coalesce(n_lines, 0) DESC, coalesce(total_tokens, 0) DESC) = 1),
 q AS (SELECT dataset, target_pair, max(quota) AS quota FROM pair_plan GROUP BY 1, 2),

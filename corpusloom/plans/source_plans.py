@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators.joins import pick_groups, positional_join
 from corpusloom.operators.stats import score_summary
 from corpusloom.operators.tracking import complete_groups
+from corpusloom.plans.hash_sql import hashed_text
 from corpusloom.plans.registry import query
 from corpusloom.plans.views import PAIRS, SCORES, pairs, predictions, predictions_sql, scores
 from corpusloom.session import spread, table
@@ -59,7 +60,15 @@ def preview(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "bitext").select("pair_id", "ingested_at", "corpus").orderBy("pair_id", "ingested_at").limit(5)
 
 
-@query()
+@query("SELECT * EXCLUDE (url, version, orig_src_lang, orig_tgt_lang) FROM bitext")
+def kept_columns(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs without the columns that only tell where they came from."""
+    return table(spark, d, "bitext").drop("url", "version", "orig_src_lang", "orig_tgt_lang")
+
+
+@query(f"""WITH {PAIRS}, stats AS (SELECT lang_pair, count(*) AS n_rows, avg(similarity_score::DOUBLE) AS mean FROM pairs WHERE lang_pair IS NOT NULL GROUP BY 1), {hashed_text('stats', 'drawn', 0, 'lang_pair', 17)}
+(SELECT 'worst' AS why, lang_pair, n_rows, mean FROM stats ORDER BY mean NULLS LAST, lang_pair LIMIT 5) UNION ALL (SELECT 'biggest', lang_pair, n_rows, mean FROM stats ORDER BY n_rows DESC, lang_pair LIMIT 5)
+UNION ALL (SELECT 'random', lang_pair, n_rows, mean FROM drawn ORDER BY CASE WHEN h < 9223372036854775808::UBIGINT THEN h::HUGEINT ELSE h::HUGEINT - 18446744073709551616::HUGEINT END, lang_pair LIMIT 5)""")
 def diagnostic_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Worst, largest and some other language pairs by similarity."""
     stats = score_summary(pairs(spark, d).filter("lang_pair is not null"), ["lang_pair"], "similarity_score")

@@ -14,7 +14,7 @@ from test_operators import rows_of
 
 from corpusloom import storage
 from corpusloom.functions import text as T
-from corpusloom.operators import budget, joint, retrieval, scoring, tracking
+from corpusloom.operators import budget, dedup, joint, retrieval, scoring, tracking
 from corpusloom.sources import readers, reports, writers
 
 
@@ -114,6 +114,26 @@ def test_probe_and_manifest(spark):
     assert rows_of(tracking.pending_manifest(jobs, known, "d", "k", ["failed"])) == [("a", 2, "x", "y", 20, 30)]
 
 
+@pytest.mark.parametrize("shared_hash", [False, True])
+def test_dedup_by_hash(spark, monkeypatch, shared_hash):
+    rnd = random.Random(10)
+    data = [(i, rnd.choice(["hot", "hot", "x", "y", "", None]), rnd.choice(["a", "b", None]), rnd.choice([None, 1, 1, 2, 3]), rnd.choice(["u", None])) for i in range(400)]
+    data += data[:50]  # whole rows again
+    df = spark.createDataFrame(data, "i int, s string, t string, at int, _n string").repartition(4)
+    if shared_hash:  # every text has the first two hashes of all others
+        real = F.xxhash64
+        monkeypatch.setattr(F, "xxhash64", lambda *c: F.lit(7).cast("bigint") if str(c[0]._jc) in ("1", "2") else real(*c))
+    low = lambda v: (v is not None, v)
+    want = {}
+    for r in data:
+        if r[1] is not None and r[2] is not None:
+            want.setdefault(r[1:3], []).append((low(r[3]), low(r[4]), r[0], r))
+    got = {(r.s, r.t): tuple(r) for r in dedup.exact_dedup(df, "s", "t", ["at", "_n"]).collect()}
+    assert got == {k: min(rs, key=lambda x: x[:3])[3] for k, rs in want.items()}
+    assert dedup.exact_dedup(df.filter("false"), "s", "t", ["at"]).count() == 0
+    assert dedup.exact_dedup(df, "s", "t", ["_n", "at"]).count() == len(got)
+
+
 # --- scorers ----------------------------------------------------------------------------------------------------------
 def test_rate_limit():
     now, slept = [0.0], []
@@ -169,7 +189,8 @@ def test_cca_from_sums(spark):
     rng = np.random.default_rng(5)
     shared = rng.normal(size=(300, 2))
     x = np.hstack([shared @ rng.normal(size=(2, 3)), rng.normal(size=(300, 1)), np.ones((300, 1))])
-    y = np.hstack([shared @ rng.normal(size=(2, 2)), rng.normal(size=(300, 3))])
+    # Noise of two sizes, so that no two correlations are equal and components are unique.
+    y = np.hstack([shared + rng.normal(size=(300, 2)) * [0.2, 0.9], rng.normal(size=(300, 3))])
     data = [(i, a.tolist(), b.tolist()) for i, (a, b) in enumerate(zip(x, y))]
     df = spark.createDataFrame([*data, (900, None, y[0].tolist())], "i int, a array<double>, b array<double>").repartition(4)
     fitted = retrieval.cca_fit(df, "a", "b", 2)
