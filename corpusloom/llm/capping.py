@@ -105,6 +105,7 @@ def _held(open_: DataFrame, room: DataFrame) -> DataFrame:
     ties = materialize(ties, "cap-ties")
     left = by_score.join(tight, "contributor").select("contributor", (F.col("k") - F.col("above")).alias("k"))
     by_id = kth_value(ties, "contributor", "order", left).select("contributor", F.col("cutoff").alias("last"))
+    discard(ties)
     limits = tight.join(by_score.select("contributor", "cutoff"), "contributor", "left").join(by_id, "contributor", "left")
     inside = F.col("k").isNull() | (
         (F.col("k") > 0) & ((F.col("v") > F.col("cutoff")) | ((F.col("v") == F.col("cutoff")) & (F.col("order") >= F.col("last"))))
