@@ -33,7 +33,13 @@ def _as_long(rows: DataFrame, column: str) -> Column | None:
 
 def exact_dedup(rows: DataFrame, source: str, target: str, order: list[str]) -> DataFrame:
     """One row per pair of texts, rows with a null text removed; of copies the first by ``order``, then by all other
-    columns, stays whole.
+    columns, stays whole. Copies are dropped where they are read, and each text is shuffled once."""
+    return keep_one(rows.filter(F.col(source).isNotNull() & F.col(target).isNotNull()), [source, target], order)
+
+
+def dedup_by_hash(rows: DataFrame, source: str, target: str, order: list[str]) -> DataFrame:
+    """``exact_dedup`` without sorting texts, for texts so long that this matters; it reads ``rows`` twice, and for
+    sentences takes twice the time.
 
     Texts are reduced to 128 bits of hash, and the first time of each is found by a hash aggregation of three numbers.
     Rows are then shuffled once, by hash and time, so that the copies of a text that makes up a third of the corpus

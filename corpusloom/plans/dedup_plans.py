@@ -20,6 +20,14 @@ def exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return dedup.exact_dedup(rows, "source_text", "target_text", ["ingested_at", "pair_id"])
 
 
+@query("""SELECT pair_id, source_text, target_text, corpus, ingested_at FROM (
+SELECT *, row_number() OVER (PARTITION BY source_text, target_text ORDER BY ingested_at, pair_id) AS n FROM bitext WHERE source_text IS NOT NULL AND target_text IS NOT NULL) WHERE n = 1""")
+def hashed_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """The same as ``exact_dedup``, by hashes."""
+    rows = table(spark, d, "bitext").select("pair_id", "source_text", "target_text", "corpus", "ingested_at")
+    return dedup.dedup_by_hash(rows, "source_text", "target_text", ["ingested_at", "pair_id"])
+
+
 @query(f"""WITH {PAIRS} SELECT lang_pair, count(*) AS input_rows, count(*) FILTER (source_text IS NULL OR target_text IS NULL) AS null_rows,
 count(DISTINCT CASE WHEN source_text IS NOT NULL AND target_text IS NOT NULL THEN (source_text, target_text) END) AS kept_rows,
 count(*) - count(DISTINCT CASE WHEN source_text IS NOT NULL AND target_text IS NOT NULL THEN (source_text, target_text) END) AS removed_rows

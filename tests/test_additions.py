@@ -128,10 +128,10 @@ def test_dedup_by_hash(spark, monkeypatch, shared_hash):
     for r in data:
         if r[1] is not None and r[2] is not None:
             want.setdefault(r[1:3], []).append((low(r[3]), low(r[4]), r[0], r))
-    got = {(r.s, r.t): tuple(r) for r in dedup.exact_dedup(df, "s", "t", ["at", "_n"]).collect()}
+    got = {(r.s, r.t): tuple(r) for r in dedup.dedup_by_hash(df, "s", "t", ["at", "_n"]).collect()}
     assert got == {k: min(rs, key=lambda x: x[:3])[3] for k, rs in want.items()}
-    assert dedup.exact_dedup(df.filter("false"), "s", "t", ["at"]).count() == 0
-    assert dedup.exact_dedup(df, "s", "t", ["_n", "at"]).count() == len(got)
+    assert dedup.dedup_by_hash(df.filter("false"), "s", "t", ["at"]).count() == 0
+    assert dedup.dedup_by_hash(df, "s", "t", ["_n", "at"]).count() == len(got)
 
 
 # --- scorers ----------------------------------------------------------------------------------------------------------
